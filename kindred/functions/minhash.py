@@ -14,7 +14,7 @@ from kindred.functions.text import EMPTY_SHINGLE
 PRIME = 2**31 - 1
 BASE = 1_000_003
 # Shingles hashed at a time, so that a long text needs no large matrix.
-CHUNK = 1024
+CHUNK = 512
 
 
 def hash_family(n_hashes: int, seed: int = 42) -> list[tuple[int, int]]:
@@ -37,15 +37,23 @@ def _base_hashes(text: str, k: int) -> np.ndarray:
     return total % np.uint64(PRIME)
 
 
-def _minima(base: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+def _minima(base: np.ndarray, a: np.ndarray, b: np.ndarray, work: np.ndarray) -> np.ndarray:
+    """Least hash per function; ``work`` is reused, as fresh matrices cost more than the sums."""
     p, shift = np.uint64(PRIME), np.uint64(31)
     lowest = np.full(len(a), PRIME, dtype=np.uint64)
     for start in range(0, len(base), CHUNK):
-        h = a[:, None] * base[None, start : start + CHUNK] + b[:, None]
+        part = base[start : start + CHUNK, None]
+        h, high = work[0, : len(part)], work[1, : len(part)]
+        np.multiply(part, a, out=h)
+        np.add(h, b, out=h)
         # PRIME is 2^31 - 1, so folding the high bits onto the low ones reduces h
         # to below 2*PRIME; the unsigned minimum then takes off one more PRIME.
-        h = (h & p) + (h >> shift)
-        np.minimum(lowest, np.minimum(h, h - p).min(axis=1), out=lowest)
+        np.right_shift(h, shift, out=high)
+        np.bitwise_and(h, p, out=h)
+        np.add(h, high, out=h)
+        np.subtract(h, p, out=high)
+        np.minimum(h, high, out=h)
+        np.minimum(lowest, h.min(axis=0), out=lowest)
     return lowest
 
 
@@ -69,15 +77,16 @@ def minhash_signature(
     def signature(texts: pa.Array) -> pa.Array:
         a = np.array([f[0] for f in family], dtype=np.uint64)
         b = np.array([f[1] for f in family], dtype=np.uint64)
+        work = np.empty((2, CHUNK, n_hashes), dtype=np.uint64)
         rows = []
         for value in texts:
             document = value.as_py() or ""
             if drop_last:
                 document = document[:-1]
             if len(document) >= k:
-                rows.append(_minima(_base_hashes(document, k), a, b))
+                rows.append(_minima(_base_hashes(document, k), a, b, work))
             elif keep_empty:
-                rows.append(_minima(_base_hashes(EMPTY_SHINGLE, len(EMPTY_SHINGLE)), a, b))
+                rows.append(_minima(_base_hashes(EMPTY_SHINGLE, len(EMPTY_SHINGLE)), a, b, work))
             else:
                 rows.append(np.empty(0, dtype=np.uint64))
         offsets = np.concatenate([[0], np.cumsum([len(row) for row in rows], dtype=np.int64)])

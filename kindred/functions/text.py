@@ -32,7 +32,7 @@ def shingle_set(text: Column, k: int, drop_last: bool = False, keep_empty: bool
 
 def char_set(text: Column) -> Column:
     """Distinct characters of a text."""
-    return F.array_distinct(F.regexp_extract_all(text, F.lit(r"(?s)(.)"), F.lit(1)))
+    return F.array_distinct(F.when(F.length(text) > 0, F.split(text, "")).otherwise(F.array()))
 
 
 def jaccard(a: Column, b: Column) -> Column:

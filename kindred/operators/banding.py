@@ -41,18 +41,17 @@ def signatures(
     return kept.select(*others, signature.alias("signature"))
 
 
-def band_key(i: int, r: int, compact: bool = True) -> Column:
-    """Key of band i: its r values joined by commas, or their md5."""
-    key = F.array_join(F.slice("signature", i * r + 1, r).cast("array<string>"), ",")
+def band_key(band: Column, r: Column | int, compact: bool = True) -> Column:
+    """Key of a band: its r values joined by commas, or their md5."""
+    values = F.slice("signature", (band * r + 1).cast("int"), F.lit(r))
+    key = F.array_join(values.cast("array<string>"), ",")
     return F.md5(key) if compact else key
 
 
-def band_keys(
-    n_hashes: int, b: int, r: int, literal: bool = False, compact: bool = True
-) -> Column:
+def band_keys(n_hashes: int, b: int, r: int, literal: bool = False) -> Column:
     """Array of the keys of all bands."""
-    g = effective_bands(n_hashes, b, r, literal)
-    return F.array(*[band_key(i, r, compact) for i in range(g)])
+    last = F.lit(effective_bands(n_hashes, b, r, literal) - 1)
+    return F.transform(F.sequence(F.lit(0), last), lambda band: band_key(band, r))
 
 
 def band_rows(
@@ -64,10 +63,10 @@ def band_rows(
     compact: bool = True,
 ) -> DataFrame:
     """``(doc_id, band, key)``: one row per document and band."""
+    last = F.lit(effective_bands(n_hashes, b, r, literal) - 1)
     return signed.select(
-        "doc_id",
-        F.posexplode(band_keys(n_hashes, b, r, literal, compact)).alias("band", "key"),
-    )
+        "doc_id", "signature", F.explode(F.sequence(F.lit(0), last)).alias("band")
+    ).select("doc_id", "band", band_key(F.col("band"), r, compact).alias("key"))
 
 
 def buckets(rows: DataFrame) -> DataFrame:

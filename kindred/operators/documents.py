@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kindred.functions.text import ngrams
-from kindred.operators.skew import join_counted
+from kindred.operators.skew import balanced, join_counted
 
 
 def latest_per_id(rows: DataFrame, key: str, value: str, order: str) -> DataFrame:
@@ -37,9 +37,12 @@ def unique_documents(docs: DataFrame) -> DataFrame:
 
     Copies agree in everything computed from the text, so signatures and pairs are
     worked out once per text, and counts over documents are weighted by ``n_copies``.
+    The merge join keeps the texts in even parts, ready for hashing, instead of
+    broadcasting them when they happen to be few.
     """
     reps = copy_groups(docs).select(F.col("rep_id").alias("doc_id"), "n_copies")
-    return docs.select("doc_id", "text").join(reps, "doc_id")
+    texts = balanced(docs.select("doc_id", "text"), "doc_id")
+    return texts.join(reps.hint("merge"), "doc_id")
 
 
 def copy_members(docs: DataFrame) -> DataFrame:

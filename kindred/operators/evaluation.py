@@ -228,7 +228,7 @@ def sampled_error_rates(
 
 
 def sweep(
-    unique: DataFrame,
+    docs: DataFrame,
     signed: DataFrame,
     n_similar: Column,
     n_documents: Column,
@@ -242,16 +242,18 @@ def sweep(
     """
     cuts = {(b, r): (effective_bands(n_hashes, b, r), r) for b, r in settings}
     bands = [
-        F.struct(F.lit(f"{g}x{r}").alias("cut"), F.lit(i).alias("band"), band_key(i, r).alias("key"))
+        F.struct(F.lit(f"{g}x{r}").alias("cut"), F.lit(r).alias("r"), F.lit(i).alias("band"))
         for g, r in sorted(set(cuts.values()))
         for i in range(g)
     ]
-    rows = signed.select("doc_id", F.inline(F.array(*bands)))
+    rows = signed.select("doc_id", "signature", F.inline(F.array(*bands))).select(
+        "doc_id", "cut", "band", band_key(F.col("band"), F.col("r")).alias("key")
+    )
     pairs = staged(
         pairs_sharing_key(staged(rows, "bands"), ["cut", "band", "key"], within=["cut"]), "pairs"
     )
     distinct_pairs = pairs.select("x", "y").distinct()
-    scored = pairs.join(with_similarity(distinct_pairs, unique, "char"), ["x", "y"])
+    scored = pairs.join(with_similarity(distinct_pairs, docs, "char"), ["x", "y"])
     counts = pair_counts(weighted(scored, signed), signed, by=["cut"])
     copies = copy_pairs(signed)
     listed = signed.sparkSession.createDataFrame(

@@ -20,17 +20,21 @@ def candidate_pairs(rows: DataFrame) -> DataFrame:
     return pairs_sharing_key(rows, ["band", "key"]).withColumnRenamed("n_shared", "n_bands")
 
 
-def token_set(domain: str, k: int = SHINGLE) -> Column:
+def token_set(domain: str, k: int = SHINGLE, text: str = "text") -> Column:
     """The set a document is compared by: ``char``, ``shingle`` or ``signature``."""
     if domain == "char":
-        return char_set(F.col("text"))
+        return char_set(F.col(text))
     if domain == "shingle":
-        return shingle_set(F.col("text"), k)
+        return shingle_set(F.col(text), k)
     if domain == "signature":
-        return F.array_distinct("signature")
+        return F.array_distinct(text)
     raise ValueError(f"unknown domain: {domain}")
 
 
+def source_column(domain: str) -> str:
+    return "signature" if domain == "signature" else "text"
+
+
 def _with_column_of_both(pairs: DataFrame, docs: DataFrame, column: str) -> DataFrame:
     one = docs.select(F.col("doc_id").alias("x"), F.col(column).alias("_of_x"))
     other = docs.select(F.col("doc_id").alias("y"), F.col(column).alias("_of_y"))
@@ -42,16 +46,11 @@ def with_similarity(
 ) -> DataFrame:
     """Add the Jaccard similarity of each pair.
 
-    Character and signature sets are small and are joined as sets. Shingle sets are
-    many times larger than the text, so the text is joined and cut up afterwards.
+    Texts are joined and cut up afterwards: a shingle set is many times larger than
+    its text, and documents without a pair are not cut up at all.
     """
-    if domain == "shingle":
-        both = _with_column_of_both(pairs, docs, "text")
-        sets = shingle_set(F.col("_of_x"), k), shingle_set(F.col("_of_y"), k)
-    else:
-        small = docs.select("doc_id", token_set(domain, k).alias("tokens"))
-        both = _with_column_of_both(pairs, small, "tokens")
-        sets = F.col("_of_x"), F.col("_of_y")
+    both = _with_column_of_both(pairs, docs, source_column(domain))
+    sets = token_set(domain, k, "_of_x"), token_set(domain, k, "_of_y")
     return both.withColumn(name, jaccard(*sets)).drop("_of_x", "_of_y")
 
 
@@ -80,30 +79,41 @@ def similar_pairs(
     64-bit hashes: a collision can only add a comparison, as the similarity itself
     comes from the tokens. ``docs`` hold distinct texts, or distinct token sets.
     """
-    tokens = docs.select("doc_id", token_set(domain, k).alias("tokens")).select(
+    sets = docs.select("doc_id", token_set(domain, k, source_column(domain)).alias("tokens"))
+    if domain == "char":
+        sets = sets.withColumn("tokens", F.transform("tokens", F.ascii))
+    if domain != "shingle":
+        sets = staged(sets, "sets")
+    tokens = sets.select(
         "doc_id", F.size("tokens").alias("size"), F.explode("tokens").alias("token")
-    )
-    tokens = staged(
-        tokens.select("doc_id", "size", F.xxhash64("token").alias("token")), "tokens"
-    )
-    spread = tokens.groupBy("token").agg(F.count("*").alias("df"))
+    ).select("doc_id", "size", F.xxhash64("token").alias("token"))
+    tokens = staged(tokens, "tokens")
+    spread = staged(tokens.groupBy("token").agg(F.count("*").alias("df")), "token-counts")
     ordered = (
         join_counted(tokens, spread, ["token"], "df")
         .groupBy("doc_id", "size")
         .agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("ranked"))
     )
     prefix_length = F.col("size") - _least_overlap(F.col("size"), threshold) + 1
-    prefixes = (
-        ordered.select(
-            "doc_id", "size", F.explode(F.slice("ranked", F.lit(1), prefix_length)).alias("_t")
-        )
-        .select("doc_id", "size", F.col("_t.token").alias("token"))
-        .distinct()
-    )
+    prefixes = ordered.select(
+        "doc_id", "size", F.posexplode(F.slice("ranked", F.lit(1), prefix_length))
+    ).select("doc_id", "size", F.col("col.token").alias("token"), F.col("pos").alias("place"))
+
+    def can_be_similar(a, b) -> Column:
+        # Where two similar sets first meet, the tokens still to come must suffice.
+        still = 1 + F.least(a("size") - a("place") - 1, b("size") - b("place") - 1)
+        return still >= _least_overlap(a("size") + b("size"), threshold / (1 + threshold))
+
     close = pairs_sharing_key(
-        staged(prefixes, "prefixes"), ["token"], size_col="size", min_size_ratio=threshold
+        staged(prefixes, "prefixes"), ["token"], carry=["size", "place"], keep=can_be_similar
     ).select("x", "y")
-    scored = with_similarity(close, docs, domain, k)
+    if domain == "shingle":
+        scored = with_similarity(staged(close, "close"), docs, domain, k)
+    else:
+        both = _with_column_of_both(close, sets, "tokens")
+        scored = both.select(
+            "x", "y", jaccard(F.col("_of_x"), F.col("_of_y")).alias("sim")
+        )
     enough = F.col("sim") > threshold if strict else F.col("sim") >= threshold
     return scored.where(enough)
 

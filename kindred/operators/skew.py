@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # A key is heavy when it holds more than 1/HEAVY_SHARE of the counted rows, so
@@ -34,13 +34,25 @@ def join_counted(
     )
 
 
+def balanced(rows: DataFrame, key: str) -> DataFrame:
+    """Spread a scan of few splits over all cores; a scan of many splits stays as it is.
+
+    Cutting up and hashing text takes far longer than reading it, and one small
+    file would otherwise be one task. To be applied to a bare scan.
+    """
+    slots = rows.sparkSession.sparkContext.defaultParallelism
+    if rows.rdd.getNumPartitions() >= 4 * slots:
+        return rows
+    return rows.repartition(4 * slots, key)
+
+
 def pairs_sharing_key(
     members: DataFrame,
     keys: Sequence[str],
     id_col: str = "doc_id",
     within: Sequence[str] = (),
-    size_col: str | None = None,
-    min_size_ratio: float = 0.0,
+    carry: Sequence[str] = (),
+    keep: Callable[[Callable[[str], Column], Callable[[str], Column]], Column] | None = None,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Unordered pairs of ids found together under at least one key.
@@ -49,40 +61,37 @@ def pairs_sharing_key(
     of keys the two share. ``members`` holds each (keys, id) once. A group of more
     than ``block_rows`` ids is cut into blocks, and every two blocks meet in a join
     cell of their own, so a large group spreads over many tasks and no list of its
-    members is ever built. With ``size_col``, pairs whose sizes differ too much to
-    reach a Jaccard similarity of ``min_size_ratio`` are left out.
+    members is ever built. ``keep`` tests a meeting of two members inside the join,
+    by their ``carry`` columns, so that meetings that fail are never written out.
     """
-    keys, within = list(keys), list(within)
+    keys, within, carry = list(keys), list(within), list(carry)
     groups = members.groupBy(*keys).agg(F.count("*").alias("_n")).where("_n > 1")
     sized = join_counted(members, groups, keys, "_n")
     blocks = F.ceil(F.col("_n") / block_rows).cast("int")
-    extra = [size_col] if size_col else []
     placed = sized.select(
         *keys,
         F.col(id_col).alias("_id"),
-        *[F.col(c).alias("_size") for c in extra],
+        *carry,
         blocks.alias("_blocks"),
         F.pmod(F.xxhash64(id_col), blocks).cast("int").alias("_block"),
     )
-    sizes = ["_size"] if size_col else []
     left = placed.select(
         *keys,
         F.col("_id").alias("_a"),
-        *[F.col(c).alias("_size_a") for c in sizes],
+        *[F.col(c).alias(f"_a_{c}") for c in carry],
         F.col("_block").alias("_low"),
         F.explode(F.sequence("_block", F.col("_blocks") - 1)).alias("_high"),
     )
     right = placed.select(
         *keys,
         F.col("_id").alias("_b"),
-        *[F.col(c).alias("_size_b") for c in sizes],
+        *[F.col(c).alias(f"_b_{c}") for c in carry],
         F.explode(F.sequence(F.lit(0), "_block")).alias("_low"),
         F.col("_block").alias("_high"),
     )
     met = left.join(right, [*keys, "_low", "_high"]).where("_low < _high or _a < _b")
-    if size_col:
-        small, large = F.least("_size_a", "_size_b"), F.greatest("_size_a", "_size_b")
-        met = met.where(small >= large * F.lit(min_size_ratio) - F.lit(1e-9))
+    if keep is not None:
+        met = met.where(keep(lambda c: F.col(f"_a_{c}"), lambda c: F.col(f"_b_{c}")))
     return met.groupBy(
         *within, F.least("_a", "_b").alias("x"), F.greatest("_a", "_b").alias("y")
     ).agg(F.count("*").alias("n_shared"))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from kindred.functions.text import clean_text, ngrams
 from kindred.operators import banding, documents, evaluation, sampling, similarity
+from kindred.operators.skew import balanced
 from kindred.plans.tables import documents as read_documents
 from kindred.plans.tables import table
 from kindred.sources import readers
@@ -23,10 +24,9 @@ CLEAN_SHINGLE = 3
 
 @dataclass
 class Signed:
-    """Documents, their distinct texts, and the stored signatures of those."""
+    """Documents, and the stored signatures of their distinct texts."""
 
     docs: DataFrame
-    unique: DataFrame
     signed: DataFrame
 
     def band_rows(self) -> DataFrame:
@@ -39,8 +39,7 @@ class Signed:
 def signed_documents(spark: SparkSession, sf_dir: str) -> Signed:
     docs = read_documents(spark, sf_dir)
     unique = documents.unique_documents(docs)
-    signed = staged(banding.signatures(unique, N_HASHES, SHINGLE), "signatures")
-    return Signed(docs, unique, signed)
+    return Signed(docs, staged(banding.signatures(unique, N_HASHES, SHINGLE), "signatures"))
 
 
 def latest_turn(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,7 +66,8 @@ def tsv_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_documents(spark, sf_dir).withColumn("text", clean_text(F.col("text")))
+    docs = balanced(read_documents(spark, sf_dir), "doc_id")
+    return docs.withColumn("text", clean_text(F.col("text")))
 
 
 def first_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -92,7 +92,7 @@ def pair_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def shingle_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct shingles per document: full range, last one dropped, and of cleaned text."""
-    docs = read_documents(spark, sf_dir)
+    docs = balanced(read_documents(spark, sf_dir), "doc_id")
     full = F.size(F.array_distinct(ngrams(F.col("text"), SHINGLE)))
     short = F.size(F.array_distinct(ngrams(F.col("text"), SHINGLE, drop_last=True)))
     clean = F.size(F.array_distinct(ngrams(clean_text(F.col("text")), CLEAN_SHINGLE)))
@@ -114,7 +114,8 @@ def copy_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def minhash_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Signature of every document, copies included, as comma-joined values."""
-    signed = banding.signatures(read_documents(spark, sf_dir), N_HASHES, SHINGLE)
+    docs = balanced(read_documents(spark, sf_dir), "doc_id")
+    signed = banding.signatures(docs, N_HASHES, SHINGLE)
     joined = F.array_join(F.col("signature").cast("array<string>"), ",")
     return signed.select("doc_id", joined.alias("signature"))
 
@@ -138,9 +139,9 @@ def candidate_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Candidates with their similarity in all three domains and the signature cosine."""
     stage = signed_documents(spark, sf_dir)
     pairs = stage.candidates()
-    scored = similarity.with_similarity(pairs, stage.unique, "char", name="sim_char")
+    scored = similarity.with_similarity(pairs, stage.docs, "char", name="sim_char")
     scored = similarity.with_similarity(
-        scored, stage.unique, "shingle", SHINGLE, name="sim_shingle"
+        scored, stage.docs, "shingle", SHINGLE, name="sim_shingle"
     )
     scored = similarity.with_similarity(scored, stage.signed, "signature", name="sim_signature")
     scored = similarity.with_cosine(scored, stage.signed)
@@ -168,7 +169,7 @@ def similar_documents(spark: SparkSession, sf_dir: str, domain: str) -> DataFram
     found = similarity.similar_documents(
         sampling.first_rows(stage.docs.select("doc_id"), 100),
         staged(documents.copy_members(stage.docs), "members"),
-        stage.unique,
+        stage.docs,
         staged(stage.band_rows(), "bands"),
         domain=domain,
         exclude_copies=domain == "char",
@@ -191,7 +192,7 @@ def _as_doubles(counts: DataFrame) -> DataFrame:
 
 
 def _scored(stage: Signed) -> DataFrame:
-    pairs = similarity.with_similarity(stage.candidates(), stage.unique, "char")
+    pairs = similarity.with_similarity(stage.candidates(), stage.docs, "char")
     return evaluation.weighted(pairs, stage.signed)
 
 
@@ -217,7 +218,7 @@ def lsh_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
     n_documents = stage.docs.agg(F.count("*")).scalar()
     return _as_doubles(
         evaluation.sweep(
-            stage.unique, stage.signed, _similar_total(stage.docs), n_documents, N_HASHES
+            stage.docs, stage.signed, _similar_total(stage.docs), n_documents, N_HASHES
         )
     )
 
@@ -232,14 +233,16 @@ def lsh_set_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
 def lsh_missed_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs similar by shingles that banding does not find."""
     stage = signed_documents(spark, sf_dir)
-    similar = similarity.similar_pairs(stage.unique, "shingle", 0.85, k=SHINGLE)
+    unique = documents.unique_documents(stage.docs)
+    similar = similarity.similar_pairs(unique, "shingle", 0.85, k=SHINGLE)
     return evaluation.without(similar.select("x", "y"), stage.candidates())
 
 
 def lsh_false_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Candidates that are not similar by shingles."""
     stage = signed_documents(spark, sf_dir)
-    similar = similarity.similar_pairs(stage.unique, "shingle", 0.85, k=SHINGLE)
+    unique = documents.unique_documents(stage.docs)
+    similar = similarity.similar_pairs(unique, "shingle", 0.85, k=SHINGLE)
     return evaluation.without(stage.candidates(), similar).select("x", "y")
 
 
@@ -257,15 +260,19 @@ def lsh_sampled_fp_fn(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def pair_scatter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Random document pairs with signature similarities and whether they are candidates."""
+def _scatter(spark: SparkSession, sf_dir: str) -> DataFrame:
     stage = signed_documents(spark, sf_dir)
     with_signature = documents.copy_members(stage.docs).join(
         stage.signed.select(F.col("doc_id").alias("rep_id")), "rep_id", "left_semi"
     )
     members = staged(with_signature, "members")
     pairs = sampling.random_pairs(members.select("doc_id"))
-    points = evaluation.pair_table(pairs, members, stage.signed, BANDS, ROWS, N_HASHES)
+    return evaluation.pair_table(pairs, members, stage.signed, BANDS, ROWS, N_HASHES)
+
+
+def pair_scatter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Random document pairs with signature similarities and whether they are candidates."""
+    points = _scatter(spark, sf_dir)
     names = ("jaccard", "cosine", "cosine_norm")
     return points.select(
         "x", "y", "is_candidate", *[F.round(name, 6).alias(name) for name in names]
@@ -273,17 +280,11 @@ def pair_scatter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def s_curve_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per step of shingle similarity: pairs, candidates among them, and the S-curve.
-
-    Takes the pairs of distinct texts of at least 50 % similarity, by exact join.
-    """
-    stage = signed_documents(spark, sf_dir)
-    similar = similarity.similar_pairs(stage.unique, "shingle", 0.5, k=SHINGLE)
-    found = stage.candidates().select("x", "y", F.lit(1).alias("hit"))
+    """Per step of signature similarity: random pairs, candidates among them, S-curve."""
     steps = (
-        similar.join(found, ["x", "y"], "left")
-        .groupBy(F.floor(F.col("sim") * 20 + F.lit(1e-9)).cast("bigint").alias("step"))
-        .agg(F.count("*").alias("n_pairs"), F.count("hit").alias("n_candidates"))
+        _scatter(spark, sf_dir)
+        .groupBy(F.floor(F.col("jaccard") * 20 + F.lit(1e-9)).cast("bigint").alias("step"))
+        .agg(F.count("*").alias("n_pairs"), F.count_if("is_candidate").alias("n_candidates"))
         .withColumn("s", F.col("step") / 20)
     )
     curve = evaluation.s_curve(steps, BANDS, ROWS)
@@ -297,7 +298,7 @@ def lsh_tune(spark: SparkSession, sf_dir: str) -> DataFrame:
     85 %, the lower one that of all others.
     """
     stage = signed_documents(spark, sf_dir)
-    scored = similarity.with_similarity(stage.candidates(), stage.unique, "shingle", SHINGLE)
+    scored = similarity.with_similarity(stage.candidates(), stage.docs, "shingle", SHINGLE)
     levels = scored.agg(
         F.round(F.avg(F.when(F.col("sim") >= 0.85, F.col("sim"))), 4).alias("s1"),
         F.round(F.avg(F.when(F.col("sim") < 0.85, F.col("sim"))), 4).alias("s2"),

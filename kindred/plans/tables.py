@@ -12,20 +12,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def balanced(rows: DataFrame, key: str) -> DataFrame:
-    """Spread a scan of few files over all cores; a scan of many splits stays as it is.
-
-    Hashing text takes far longer than reading it, and one small file would
-    otherwise be one task.
-    """
-    slots = rows.sparkSession.sparkContext.defaultParallelism
-    if rows.rdd.getNumPartitions() >= 4 * slots:
-        return rows
-    return rows.repartition(4 * slots, key)
-
-
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return balanced(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+    return table(spark, sf_dir, "documents").select("doc_id", "text")
 
 
 def order_rows(spark: SparkSession, sf_dir: str) -> DataFrame:

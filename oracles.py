@@ -317,7 +317,7 @@ drawn AS (SELECT DISTINCT least(a.doc_id, b.doc_id) AS x, greatest(a.doc_id, b.d
   FROM picks JOIN numbered a ON a.idx = ix JOIN numbered b ON b.idx = iy WHERE ix <> iy)"""
 
 
-SCATTER = f"""WITH {signature_cte('documents')},
+POINTS = f"""WITH {signature_cte('documents')},
 bands AS ({band_select(BANDS, ROWS)}),
 cand AS ({pairs_select('bands')}),
 {pair_sample_ctes('sigs')},
@@ -326,11 +326,7 @@ points AS (
          list_cosine_similarity(a.sig::DOUBLE[], b.sig::DOUBLE[]) AS cosine,
          c.x IS NOT NULL AS is_candidate
   FROM drawn d JOIN sigs a ON a.doc_id = d.x JOIN sigs b ON b.doc_id = d.y
-  LEFT JOIN cand c ON c.x = d.x AND c.y = d.y)
-SELECT x, y, is_candidate, round(jaccard, 6) AS jaccard, round(cosine, 6) AS cosine,
-       round((cosine - (SELECT min(cosine) FROM points))
-             / nullif((SELECT max(cosine) - min(cosine) FROM points), 0), 6) AS cosine_norm
-FROM points"""
+  LEFT JOIN cand c ON c.x = d.x AND c.y = d.y)"""
 
 SAMPLED = f"""WITH sampled AS (
   SELECT seed, doc_id FROM (
@@ -443,13 +439,16 @@ SELECT x, y FROM spairs ANTI JOIN cand USING (x, y) WHERE sim >= 0.85::DOUBLE"""
 alike AS (SELECT x, y FROM spairs WHERE sim >= 0.85::DOUBLE)
 SELECT x, y FROM cand ANTI JOIN alike USING (x, y)""",
     "lsh_sampled_fp_fn": SAMPLED,
-    "pair_scatter": SCATTER,
-    "s_curve_fit": f"""WITH {UNIQUE},{stage('uniq')},{shingle_pairs('uniq')}
+    "pair_scatter": f"""{POINTS}
+SELECT x, y, is_candidate, round(jaccard, 6) AS jaccard, round(cosine, 6) AS cosine,
+       round((cosine - (SELECT min(cosine) FROM points))
+             / nullif((SELECT max(cosine) - min(cosine) FROM points), 0), 6) AS cosine_norm
+FROM points""",
+    "s_curve_fit": f"""{POINTS}
 SELECT step, n_pairs, n_candidates,
        round(1 - (1 - (step / 20) ** {ROWS}) ** {BANDS}, 6) AS p
-FROM (SELECT floor(s.sim * 20 + 1e-9::DOUBLE)::BIGINT AS step, count(*) AS n_pairs,
-             count(c.x) AS n_candidates
-      FROM spairs s LEFT JOIN cand c ON c.x = s.x AND c.y = s.y
-      WHERE s.sim >= 0.5::DOUBLE GROUP BY 1)""",
+FROM (SELECT floor(jaccard * 20 + 1e-9::DOUBLE)::BIGINT AS step, count(*) AS n_pairs,
+             count(*) FILTER (is_candidate) AS n_candidates
+      FROM points GROUP BY 1)""",
     "lsh_tune": TUNE,
 }
