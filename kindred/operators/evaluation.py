@@ -16,10 +16,9 @@ from kindred.operators.banding import (
     effective_bands,
     signatures,
 )
-from kindred.operators.documents import shingle_rows
 from kindred.operators.sampling import seeded_samples
-from kindred.operators.similarity import similar_pairs, with_similarity
-from kindred.operators.skew import join_counted, pairs_sharing_key
+from kindred.operators.similarity import candidate_pairs, similar_pairs, with_similarity
+from kindred.operators.skew import balanced, join_counted, pairs_sharing_key
 from kindred.storage import staged
 
 # Bands and rows per band that the parameter sweep compares.
@@ -108,8 +107,8 @@ def similar_char_total(docs: DataFrame) -> DataFrame:
 
     Documents with the same character set form one weighted row before the join.
     """
-    chars = docs.where("text is not null").select(
-        "doc_id", F.array_join(F.array_sort(char_set(F.col("text"))), "").alias("text")
+    chars = balanced(docs, "doc_id").where("text is not null").select(
+        "doc_id", F.array_join(F.sort_array(char_set(F.col("text"))), "").alias("text")
     )
     sets = staged(
         chars.where(F.length("text") > 0)
@@ -186,35 +185,29 @@ def sampled_error_rates(
 ) -> DataFrame:
     """Error rates over random samples of documents, one row per seed.
 
-    Within a sample every pair counts. Pairs above the threshold and pairs sharing a
-    band are both found by equality joins inside the sample of fixed size.
+    Within a sample every pair counts. Similar pairs and candidates are found among
+    all sampled documents at once and kept where one sample holds both.
     """
     picked = staged(seeded_samples(docs.select("doc_id"), sample_size, n_samples), "samples")
     texts = docs.join(picked.select("doc_id").distinct(), "doc_id", "left_semi")
-    shingles = staged(shingle_rows(texts, k).join(picked, "doc_id"), "sample-shingles")
-    sizes = shingles.groupBy("seed", "doc_id").agg(F.count("*").alias("size"))
-    shared = pairs_sharing_key(shingles, ["seed", "shingle"], within=["seed"])
-    size_x = sizes.select("seed", F.col("doc_id").alias("x"), F.col("size").alias("size_x"))
-    size_y = sizes.select("seed", F.col("doc_id").alias("y"), F.col("size").alias("size_y"))
-    truth = shared.join(size_x, ["seed", "x"]).join(size_y, ["seed", "y"]).select(
-        "seed",
-        "x",
-        "y",
-        (F.col("n_shared") / (F.col("size_x") + F.col("size_y") - F.col("n_shared"))).alias("sim"),
-    )
+    texts = balanced(staged(texts, "sample-texts"), "doc_id")
+    similar = similar_pairs(texts, "shingle", SIMILAR, k=k)
     keys = band_rows(signatures(texts, n_hashes, k), b, r, n_hashes)
-    banded = staged(keys.join(picked, "doc_id"), "sample-bands")
-    candidates = pairs_sharing_key(banded, ["seed", "band", "key"], within=["seed"]).select(
-        "seed", "x", "y", F.lit(True).alias("is_candidate")
+    candidates = staged(candidate_pairs(staged(keys, "sample-bands")), "sample-candidates")
+    dissimilar = with_similarity(candidates, texts, "shingle", k).where(F.col("sim") < SIMILAR)
+    found = dissimilar.select("x", "y", F.lit(True).alias("is_candidate")).unionByName(
+        without(similar, candidates).select("x", "y", F.lit(False).alias("is_candidate"))
     )
-    judged = truth.join(candidates, ["seed", "x", "y"], "full").select(
-        "seed",
-        F.coalesce("sim", F.lit(0.0)).alias("sim"),
-        F.coalesce("is_candidate", F.lit(False)).alias("is_candidate"),
-    )
-    wrong = judged.groupBy("seed").agg(
-        F.count_if(F.col("is_candidate") & (F.col("sim") < SIMILAR)).alias("n_fp"),
-        F.count_if(~F.col("is_candidate") & (F.col("sim") >= SIMILAR)).alias("n_fn"),
+    with_x = picked.withColumnRenamed("doc_id", "x")
+    with_y = picked.withColumnRenamed("doc_id", "y")
+    wrong = (
+        found.join(with_x, "x")
+        .join(with_y, ["y", "seed"])
+        .groupBy("seed")
+        .agg(
+            F.count_if("is_candidate").alias("n_fp"),
+            F.count_if(~F.col("is_candidate")).alias("n_fn"),
+        )
     )
     drawn = picked.groupBy("seed").agg(F.count("*").alias("n_docs"))
     return drawn.join(wrong, "seed", "left").select(

@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kindred.operators.baskets import basket_count, basket_sizes
-from kindred.operators.skew import join_counted
+from kindred.operators.baskets import BasketShape, basket_shape, basket_sizes
+from kindred.operators.skew import join_counted, spread_by
 from kindred.storage import staged
 
 # Strict lower bounds on counts per itemset size.
@@ -19,23 +19,27 @@ COUNT_THRESHOLDS = {1: 1000, 2: 2, 3: 2}
 WIDE_BASKET = 1000
 
 
-def support_bound(threshold: int | float, n_baskets: Column) -> Column:
+def support_bound(threshold: int | float, n_baskets: int) -> float:
     """An int is a count, a float a fraction of the baskets."""
-    if isinstance(threshold, int):
-        return F.lit(threshold).cast("double")
-    return F.lit(threshold) * n_baskets
+    return threshold if isinstance(threshold, int) else threshold * n_baskets
 
 
 def count_items(rows: DataFrame) -> DataFrame:
-    """``(items, cnt)`` of single items; partial counts are made before the shuffle."""
+    """``(item, cnt)``; partial counts are made before the shuffle."""
     return rows.groupBy("item").agg(F.count("*").alias("cnt"))
 
 
+def _columns(k: int) -> list[str]:
+    return [f"i{position}" for position in range(1, k + 1)]
+
+
 def _as_itemsets(counted: DataFrame, k: int) -> DataFrame:
-    return counted.select(F.lit(k).alias("k"), "items", F.col("cnt").cast("bigint").alias("cnt"))
+    return counted.select(
+        F.lit(k).alias("k"), F.array(*_columns(k)).alias("items"), "cnt"
+    )
 
 
-def _wide_baskets(rows: DataFrame, bounds: list[Column], wide_basket: int) -> DataFrame:
+def _wide_baskets(rows: DataFrame, bound: float, wide_basket: int) -> DataFrame:
     """The largest baskets of more than ``wide_basket`` items, as many as may be set apart.
 
     An itemset above its support bound must lie in more baskets than the bound, so
@@ -44,25 +48,23 @@ def _wide_baskets(rows: DataFrame, bounds: list[Column], wide_basket: int) -> Da
     """
     wide = basket_sizes(rows).where(F.col("n_items") > wide_basket)
     at_least = Window.orderBy(F.desc("n_items"))
-    smallest_bound = F.least(*bounds) if len(bounds) > 1 else bounds[0]
     cut = (
         wide.groupBy("n_items")
         .agg(F.count("*").alias("n"))
         .select("n_items", F.sum("n").over(at_least).alias("running"))
-        .where(F.col("running") <= smallest_bound)
+        .where(F.col("running") <= bound)
         .agg(F.min("n_items"))
     )
     return wide.where(F.col("n_items") >= cut.scalar()).select("basket")
 
 
-def _wide_counts(itemsets: DataFrame, wide_rows: DataFrame, k: int) -> DataFrame:
+def _wide_counts(counted: DataFrame, wide_rows: DataFrame, k: int) -> DataFrame:
     """How many wide baskets hold each of the given itemsets, by one lookup per item."""
-    found = itemsets.select("items", F.col("items")[0].alias("item")).join(wide_rows, "item")
-    for position in range(1, k):
-        found = found.select("items", "basket", F.col("items")[position].alias("item")).join(
-            wide_rows, ["basket", "item"]
-        )
-    return found.groupBy("items").agg(F.count("*").alias("_wide_cnt"))
+    found = counted.select(*_columns(k))
+    for position, column in enumerate(_columns(k)):
+        lookup = wide_rows.select("basket", F.col("item").alias(column))
+        found = found.join(lookup, column if position == 0 else ["basket", column])
+    return found.groupBy(*_columns(k)).agg(F.count("*").alias("_wide_cnt"))
 
 
 def _extend(occurrences: DataFrame, k: int) -> DataFrame:
@@ -71,17 +73,11 @@ def _extend(occurrences: DataFrame, k: int) -> DataFrame:
     The join keys are the basket and the shared leading items; matching rows
     stream through the join, so a basket's combinations are never held as a list.
     """
-    shared = F.slice("items", 1, k - 2)
-    left = occurrences.select("basket", "items", shared.alias("_lead"))
-    right = occurrences.select(
-        "basket", F.element_at("items", -1).alias("_last"), shared.alias("_lead")
-    )
-    keys = ["basket"] if k == 2 else ["basket", "_lead"]
-    return (
-        left.join(right.drop("_lead") if k == 2 else right, keys)
-        .where(F.element_at("items", -1) < F.col("_last"))
-        .select("basket", F.concat("items", F.array("_last")).alias("items"))
-    )
+    *leading, before, last = _columns(k)
+    keys = ["basket", *leading]
+    keyed = spread_by(occurrences, keys)
+    others = keyed.withColumnRenamed(before, last)
+    return keyed.join(others, keys).where(F.col(before) < F.col(last))
 
 
 def has_frequent_subsets(candidates: DataFrame, smaller: DataFrame, k: int) -> DataFrame:
@@ -89,14 +85,12 @@ def has_frequent_subsets(candidates: DataFrame, smaller: DataFrame, k: int) -> D
 
     Smaller subsets need no test: a frequent (k-1)-itemset has frequent subsets only.
     """
-    frequent = smaller.select(F.col("items").alias("_subset"))
-    for left_out in range(k):
-        subset = F.concat(F.slice("items", 1, left_out), F.slice("items", left_out + 2, k))
-        candidates = (
-            candidates.withColumn("_subset", subset)
-            .join(frequent, "_subset", "left_semi")
-            .drop("_subset")
+    for left_out in _columns(k):
+        subset = [column for column in _columns(k) if column != left_out]
+        frequent = smaller.select(
+            *[F.col(old).alias(new) for old, new in zip(_columns(k - 1), subset, strict=True)]
         )
+        candidates = candidates.join(frequent, subset, "left_semi")
     return candidates
 
 
@@ -105,52 +99,49 @@ def frequent_itemsets(
     thresholds: Mapping[int, int | float] = COUNT_THRESHOLDS,
     max_k: int = 3,
     wide_basket: int = WIDE_BASKET,
-    n_baskets: Column | None = None,
+    shape: BasketShape | None = None,
 ) -> DataFrame:
     """``(k, items, cnt)`` of all itemsets of up to ``max_k`` items above their threshold.
 
     ``rows`` are distinct ``(basket, item)`` rows, read several times and best a
-    stored table; ``items`` are sorted as strings.
+    stored table; ``items`` are sorted as strings. ``shape`` saves a pass over the
+    rows where it is known.
     """
-    if n_baskets is None:
-        n_baskets = staged(basket_count(rows), "basket-count").scalar()
-    bounds = {k: support_bound(thresholds[k], n_baskets) for k in range(1, max_k + 1)}
-
+    shape = shape or basket_shape(rows)
+    bounds = {k: support_bound(thresholds[k], shape.n_baskets) for k in range(1, max_k + 1)}
     singles = staged(count_items(rows).where(F.col("cnt") > bounds[1]), "frequent-items")
-    found = [_as_itemsets(singles.select(F.array("item").alias("items"), "cnt"), 1)]
+    found = [_as_itemsets(singles.withColumnRenamed("item", "i1"), 1)]
     if max_k == 1:
         return found[0]
 
     kept = staged(
         join_counted(rows, singles, ["item"], "cnt").select("basket", "item"), "kept-items"
     )
-    wide = staged(
-        _wide_baskets(kept, [bounds[k] for k in range(2, max_k + 1)], wide_basket),
-        "wide-baskets",
-    )
-    has_wide = not wide.isEmpty()
-    regular = kept.join(wide, "basket", "left_anti") if has_wide else kept
-    wide_rows = (
-        staged(kept.join(wide, "basket", "left_semi"), "wide-rows") if has_wide else None
-    )
-
-    occurrences = regular.select("basket", F.array("item").alias("items"))
-    smaller = found[0]
+    regular, wide_rows = kept, None
+    if shape.widest > wide_basket:
+        smallest_bound = min(bounds[k] for k in range(2, max_k + 1))
+        wide = staged(_wide_baskets(kept, smallest_bound, wide_basket), "wide-baskets")
+        regular = kept.join(wide, "basket", "left_anti")
+        wide_rows = staged(kept.join(wide, "basket", "left_semi"), "wide-rows")
+
+    occurrences = regular.withColumnRenamed("item", "i1")
     for k in range(2, max_k + 1):
+        columns = _columns(k)
         extended = _extend(occurrences, k)
-        counted = extended.groupBy("items").agg(F.count("*").alias("cnt"))
+        counted = extended.groupBy(*columns).agg(F.count("*").alias("cnt"))
         if wide_rows is not None:
             counted = staged(counted, f"regular-counts-{k}")
-            counted = counted.join(
-                _wide_counts(counted, wide_rows, k), "items", "left"
-            ).select("items", (F.col("cnt") + F.coalesce("_wide_cnt", F.lit(0))).alias("cnt"))
+            everywhere = F.col("cnt") + F.coalesce("_wide_cnt", F.lit(0))
+            counted = counted.join(_wide_counts(counted, wide_rows, k), columns, "left").select(
+                *columns, everywhere.alias("cnt")
+            )
         frequent = counted.where(F.col("cnt") > bounds[k])
         if k > 2:
             frequent = has_frequent_subsets(frequent, smaller, k)
-        smaller = staged(_as_itemsets(frequent, k), f"frequent-{k}")
-        found.append(smaller)
+        smaller = staged(frequent, f"frequent-{k}")
+        found.append(_as_itemsets(smaller, k))
         if k < max_k:
-            occurrences = extended.join(smaller.select("items"), "items", "left_semi")
+            occurrences = extended.join(smaller.select(*columns), columns, "left_semi")
     return reduce(DataFrame.unionByName, found)
 
 

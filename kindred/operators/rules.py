@@ -39,7 +39,7 @@ def _support_of(itemsets: DataFrame, k: int, key: str, cnt: str) -> DataFrame:
 
 def association_rules(
     itemsets: DataFrame,
-    n_baskets: Column,
+    n_baskets: int,
     k: int,
     metrics: str = "textbook",
     interest_base: str | None = None,
@@ -77,7 +77,7 @@ def association_rules(
     def or_one(name: str) -> Column:
         return F.coalesce(name, F.lit(1)).cast("double")
 
-    n = n_baskets.cast("double")
+    n = F.lit(float(n_baskets))
     frequent_total = of_size(itemsets, 1).agg(F.sum("cnt")).scalar().cast("double")
     base = n if interest_base == "baskets" else frequent_total
     cx, cy = or_one("_cx"), or_one("_cy")

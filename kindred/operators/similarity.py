@@ -79,20 +79,24 @@ def similar_pairs(
     64-bit hashes: a collision can only add a comparison, as the similarity itself
     comes from the tokens. ``docs`` hold distinct texts, or distinct token sets.
     """
-    sets = docs.select("doc_id", token_set(domain, k, source_column(domain)).alias("tokens"))
-    if domain == "char":
-        sets = sets.withColumn("tokens", F.transform("tokens", F.ascii))
-    if domain != "shingle":
-        sets = staged(sets, "sets")
-    tokens = sets.select(
-        "doc_id", F.size("tokens").alias("size"), F.explode("tokens").alias("token")
-    ).select("doc_id", "size", F.xxhash64("token").alias("token"))
-    tokens = staged(tokens, "tokens")
+    token_array = token_set(domain, k, source_column(domain))
+    if domain == "shingle":
+        sets = docs
+    else:
+        if domain == "char":
+            token_array = F.transform(token_array, F.ascii)
+        sets = staged(docs.select("doc_id", token_array.alias("tokens")), "sets")
+        token_array = F.col("tokens")
+    # Exploding the expression itself, not a column made from it, keeps the planner
+    # from working it out again in a filter on empty arrays.
+    tokens = sets.select("doc_id", F.explode(token_array).alias("token"))
+    tokens = staged(tokens.select("doc_id", F.xxhash64("token").alias("token")), "tokens")
     spread = staged(tokens.groupBy("token").agg(F.count("*").alias("df")), "token-counts")
     ordered = (
         join_counted(tokens, spread, ["token"], "df")
-        .groupBy("doc_id", "size")
+        .groupBy("doc_id")
         .agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("ranked"))
+        .withColumn("size", F.size("ranked"))
     )
     prefix_length = F.col("size") - _least_overlap(F.col("size"), threshold) + 1
     prefixes = ordered.select(

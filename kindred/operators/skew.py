@@ -46,6 +46,16 @@ def balanced(rows: DataFrame, key: str) -> DataFrame:
     return rows.repartition(4 * slots, key)
 
 
+def spread_by(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Hash rows by the keys into the session's full number of shuffle partitions.
+
+    For inputs of a self-join whose work grows faster than their size: adaptive
+    merging of small partitions would leave all of it to a few tasks.
+    """
+    partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(partitions, *keys)
+
+
 def pairs_sharing_key(
     members: DataFrame,
     keys: Sequence[str],
@@ -89,7 +99,12 @@ def pairs_sharing_key(
         F.explode(F.sequence(F.lit(0), "_block")).alias("_low"),
         F.col("_block").alias("_high"),
     )
-    met = left.join(right, [*keys, "_low", "_high"]).where("_low < _high or _a < _b")
+    cell = [*keys, "_low", "_high"]
+    met = (
+        spread_by(left, cell)
+        .join(spread_by(right, cell), cell)
+        .where("_low < _high or _a < _b")
+    )
     if keep is not None:
         met = met.where(keep(lambda c: F.col(f"_a_{c}"), lambda c: F.col(f"_b_{c}")))
     return met.groupBy(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kindred.operators import baskets, itemsets, rules, sampling
@@ -19,11 +19,11 @@ SCORES = ("confidence", "interest", "lift", "std_lift")
 
 def mined(
     rows: DataFrame, support: dict[int, float], max_k: int = 3
-) -> tuple[DataFrame, Column]:
+) -> tuple[DataFrame, int]:
     """Frequent itemsets of basket rows, and the number of baskets."""
     rows = staged(rows, "basket-rows")
-    n_baskets = staged(baskets.basket_count(rows), "basket-count").scalar()
-    return itemsets.frequent_itemsets(rows, support, max_k, n_baskets=n_baskets), n_baskets
+    shape = baskets.basket_shape(rows)
+    return itemsets.frequent_itemsets(rows, support, max_k, shape=shape), shape.n_baskets
 
 
 def order_itemsets(spark: SparkSession, sf_dir: str, max_k: int = 3) -> DataFrame:

@@ -415,10 +415,14 @@ WHERE sim >= 0.85::DOUBLE""",
     "jaccard_pairs_shingle": f"""WITH {UNIQUE},{shingle_pairs('uniq')}
 SELECT x, y, round(sim, 6) AS sim FROM spairs WHERE sim >= 0.85::DOUBLE""",
     "jaccard_pairs_signature": f"""WITH {UNIQUE},{signature_cte('uniq')},
-vals AS (SELECT doc_id, list_distinct(sig) AS v FROM sigs)
+vals AS (SELECT DISTINCT doc_id, unnest(sig) AS v FROM sigs),
+sizes AS (SELECT doc_id, count(*) AS n FROM vals GROUP BY doc_id),
+shared AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS m
+           FROM vals a JOIN vals b ON a.v = b.v AND a.doc_id < b.doc_id GROUP BY 1, 2)
 SELECT x, y, round(sim, 6) AS sim FROM (
-  SELECT a.doc_id AS x, b.doc_id AS y, {jaccard('a.v', 'b.v')} AS sim
-  FROM vals a JOIN vals b ON a.doc_id < b.doc_id) WHERE sim >= 0.85::DOUBLE""",
+  SELECT x, y, m::DOUBLE / (p.n + q.n - m) AS sim
+  FROM shared JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y)
+WHERE sim >= 0.85::DOUBLE""",
     "similar_documents_char": similar_sql("char"),
     "similar_documents_shingle": similar_sql("shingle"),
     "lsh_quality": f"""{EVALUATION} SELECT n_candidates, n_over_85, n_under_60, pct_over_85,
