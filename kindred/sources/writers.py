@@ -43,8 +43,7 @@ RULE_LINE = "=" * 41
 def rule_line(antecedent: Column, consequent: Column, *scores: Column) -> Column:
     """``antecedent -> consequent`` and the scores with four decimals, tab-separated.
 
-    ``format_number`` rounds the exact value with ties to even; ``format_string``
-    would round 0.15625 up.
+    ``format_number`` rounds ties to even; ``format_string`` would round 0.15625 up.
     """
     rule = F.concat(itemset_label(antecedent), F.lit(" -> "), consequent)
     decimals = [F.call_function("format_number", score, F.lit("0.0000")) for score in scores]
