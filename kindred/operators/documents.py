@@ -19,20 +19,18 @@ def keyed_texts(docs: DataFrame) -> DataFrame:
     return docs.where("text is not null").select("doc_id", F.sha2("text", 256).alias("text_key"))
 
 
-def copy_groups(docs: DataFrame) -> DataFrame:
+def copy_groups(keyed: DataFrame) -> DataFrame:
     """``(text_key, rep_id, n_copies)``: one row per distinct text.
 
     The least id stands for all copies. Only ids and digests are shuffled, after
     partial aggregation, so a text with very many copies costs no more than others.
     """
-    return (
-        keyed_texts(docs)
-        .groupBy("text_key")
-        .agg(F.min("doc_id").alias("rep_id"), F.count("*").alias("n_copies"))
+    return keyed.groupBy("text_key").agg(
+        F.min("doc_id").alias("rep_id"), F.count("*").alias("n_copies")
     )
 
 
-def unique_documents(docs: DataFrame) -> DataFrame:
+def unique_documents(docs: DataFrame, groups: DataFrame | None = None) -> DataFrame:
     """``(doc_id, text, n_copies)``, one row per distinct text, by least id.
 
     Copies agree in everything computed from the text, so signatures and pairs are
@@ -40,14 +38,16 @@ def unique_documents(docs: DataFrame) -> DataFrame:
     The merge join keeps the texts in even parts, ready for hashing, instead of
     broadcasting them when they happen to be few.
     """
-    reps = copy_groups(docs).select(F.col("rep_id").alias("doc_id"), "n_copies")
+    if groups is None:
+        groups = copy_groups(keyed_texts(docs))
+    reps = groups.select(F.col("rep_id").alias("doc_id"), "n_copies")
     texts = balanced(docs.select("doc_id", "text"), "doc_id")
     return texts.join(reps.hint("merge"), "doc_id")
 
 
-def copy_members(docs: DataFrame) -> DataFrame:
+def copy_members(keyed: DataFrame, groups: DataFrame) -> DataFrame:
     """``(doc_id, rep_id, n_copies)`` for every document."""
-    return join_counted(keyed_texts(docs), copy_groups(docs), ["text_key"], "n_copies").select(
+    return join_counted(keyed, groups, ["text_key"], "n_copies").select(
         "doc_id", "rep_id", "n_copies"
     )
 

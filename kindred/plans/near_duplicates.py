@@ -24,22 +24,45 @@ CLEAN_SHINGLE = 3
 
 @dataclass
 class Signed:
-    """Documents, and the stored signatures of their distinct texts."""
+    """Documents, and the stored tables made from them once.
+
+    ``keyed`` has a digest per document, ``groups`` a row per distinct text, and
+    ``signed`` the signatures of those.
+    """
 
     docs: DataFrame
+    keyed: DataFrame
+    groups: DataFrame
     signed: DataFrame
 
-    def band_rows(self) -> DataFrame:
-        return banding.band_rows(self.signed, BANDS, ROWS, N_HASHES)
+    def unique(self) -> DataFrame:
+        return documents.unique_documents(self.docs, self.groups)
+
+    def members(self) -> DataFrame:
+        return staged(documents.copy_members(self.keyed, self.groups), "members")
+
+    def band_rows(self, b: int = BANDS, r: int = ROWS) -> DataFrame:
+        return staged(banding.band_rows(self.signed, b, r, N_HASHES), "bands")
+
+    def candidates(self, b: int = BANDS, r: int = ROWS) -> DataFrame:
+        return staged(similarity.candidate_pairs(self.band_rows(b, r)), "candidates")
 
-    def candidates(self) -> DataFrame:
-        return staged(similarity.candidate_pairs(staged(self.band_rows(), "bands")), "candidates")
+
+def sign(docs: DataFrame) -> Signed:
+    keyed = staged(documents.keyed_texts(docs), "text-keys")
+    groups = staged(documents.copy_groups(keyed), "copy-groups")
+    unique = documents.unique_documents(docs, groups)
+    signed = staged(banding.signatures(unique, N_HASHES, SHINGLE), "signatures")
+    return Signed(docs, keyed, groups, signed)
 
 
 def signed_documents(spark: SparkSession, sf_dir: str) -> Signed:
-    docs = read_documents(spark, sf_dir)
-    unique = documents.unique_documents(docs)
-    return Signed(docs, staged(banding.signatures(unique, N_HASHES, SHINGLE), "signatures"))
+    return sign(read_documents(spark, sf_dir))
+
+
+def run_lsh(docs: DataFrame, b: int, r: int) -> DataFrame:
+    """Candidate pairs of ``(doc_id, text)`` rows for one setting, from text to pairs."""
+    return sign(docs).candidates(b, r)
 
 
 def latest_turn(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -109,7 +132,8 @@ def shingle_vocab(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def copy_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return documents.copy_groups(read_documents(spark, sf_dir)).select("rep_id", "n_copies")
+    keyed = documents.keyed_texts(read_documents(spark, sf_dir))
+    return documents.copy_groups(keyed).select("rep_id", "n_copies")
 
 
 def minhash_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -168,9 +192,9 @@ def similar_documents(spark: SparkSession, sf_dir: str, domain: str) -> DataFram
     stage = signed_documents(spark, sf_dir)
     found = similarity.similar_documents(
         sampling.first_rows(stage.docs.select("doc_id"), 100),
-        staged(documents.copy_members(stage.docs), "members"),
+        stage.members(),
         stage.docs,
-        staged(stage.band_rows(), "bands"),
+        stage.band_rows(),
         domain=domain,
         exclude_copies=domain == "char",
         k=SHINGLE,
@@ -233,16 +257,14 @@ def lsh_set_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
 def lsh_missed_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs similar by shingles that banding does not find."""
     stage = signed_documents(spark, sf_dir)
-    unique = documents.unique_documents(stage.docs)
-    similar = similarity.similar_pairs(unique, "shingle", 0.85, k=SHINGLE)
+    similar = similarity.similar_pairs(stage.unique(), "shingle", 0.85, k=SHINGLE)
     return evaluation.without(similar.select("x", "y"), stage.candidates())
 
 
 def lsh_false_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Candidates that are not similar by shingles."""
     stage = signed_documents(spark, sf_dir)
-    unique = documents.unique_documents(stage.docs)
-    similar = similarity.similar_pairs(unique, "shingle", 0.85, k=SHINGLE)
+    similar = similarity.similar_pairs(stage.unique(), "shingle", 0.85, k=SHINGLE)
     return evaluation.without(stage.candidates(), similar).select("x", "y")
 
 
@@ -262,10 +284,10 @@ def lsh_sampled_fp_fn(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _scatter(spark: SparkSession, sf_dir: str) -> DataFrame:
     stage = signed_documents(spark, sf_dir)
-    with_signature = documents.copy_members(stage.docs).join(
-        stage.signed.select(F.col("doc_id").alias("rep_id")), "rep_id", "left_semi"
-    )
-    members = staged(with_signature, "members")
+    long_enough = stage.signed.join(
+        stage.groups.select("text_key", F.col("rep_id").alias("doc_id")), "doc_id"
+    ).select("text_key", F.col("doc_id").alias("rep_id"), "n_copies")
+    members = staged(documents.copy_members(stage.keyed, long_enough), "members")
     pairs = sampling.random_pairs(members.select("doc_id"))
     return evaluation.pair_table(pairs, members, stage.signed, BANDS, ROWS, N_HASHES)
 

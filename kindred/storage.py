@@ -7,24 +7,25 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local_folder: str | None = None
+# Removed when the process ends.
+_local_folder: tempfile.TemporaryDirectory | None = None
 
 
 def work_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``.
+    """The shared folder named by ``spark.checkpoint.dir``, or set on the context.
 
     A temporary folder is used only by a local session that names none; a
     cluster session without a shared folder is refused.
     """
     global _local_folder
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if named:
+        return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
     if _local_folder is None:
-        _local_folder = tempfile.mkdtemp(prefix="kindred-")
-    return _local_folder
+        _local_folder = tempfile.TemporaryDirectory(prefix="kindred-")
+    return _local_folder.name
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:

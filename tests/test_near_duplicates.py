@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from kindred.functions import minhash, text
 from kindred.operators import banding, documents, evaluation, similarity, skew
+from kindred.plans import near_duplicates
 from kindred.storage import staged
 
 N_HASHES = 40
@@ -200,12 +201,17 @@ def lsh_stage(spark, content, b=10, r=4):
     return docs, signed, rows
 
 
+def members_of(docs):
+    keyed = documents.keyed_texts(docs)
+    return documents.copy_members(keyed, documents.copy_groups(keyed))
+
+
 @pytest.mark.parametrize("domain,exclude", [("char", True), ("shingle", False)])
 def test_similar_documents(spark, domain, exclude):
     content = variants()
     docs, _, rows = lsh_stage(spark, content)
     queries = docs.where("doc_id < 12")
-    members = documents.copy_members(docs)
+    members = members_of(docs)
     found = similarity.similar_documents(
         queries, members, docs, rows, domain, 0.85, exclude_copies=exclude
     )
@@ -296,6 +302,20 @@ def test_sampled_error_rates(spark):
         assert (row["n_docs"], row["n_fp"], row["n_fn"]) == (48, n_fp, n_fn)
 
 
+def test_run_lsh(spark):
+    content = variants(2, 3)
+    distinct = {min(d for d in content if content[d] == t): t for t in set(content.values())}
+    found = near_duplicates.run_lsh(as_docs(spark, content), 50, 4)
+    expected = brute_candidates(distinct, 50, 4, near_duplicates.N_HASHES)
+    assert {(r["x"], r["y"]): r["n_bands"] for r in found.collect()} == expected
+
+
+def test_stages_go_to_the_named_folder(spark):
+    folder = spark.conf.get("spark.checkpoint.dir")
+    stored = staged(spark.range(3), "numbers")
+    assert all(f"{folder}/numbers-" in file for file in stored.inputFiles())
+
+
 def test_latest_line_wins(spark):
     rows = spark.createDataFrame(
         [(1, "old", 1), (1, "new", 7), (2, "only", 3)], "doc_id long, text string, pos long"
@@ -351,7 +371,7 @@ def test_signatures_estimate_similarity(spark):
 def test_pair_table(spark):
     content = variants(3, 3)
     docs, signed, _ = lsh_stage(spark, content)
-    members = documents.copy_members(docs)
+    members = members_of(docs)
     pairs = spark.createDataFrame(list(combinations(sorted(content), 2)), "x long, y long")
     table = evaluation.pair_table(pairs, members, signed, 10, 4, N_HASHES).collect()
     candidates = brute_candidates(content, 10, 4)
