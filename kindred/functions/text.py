@@ -41,14 +41,19 @@ def jaccard(a: Column, b: Column) -> Column:
     return F.coalesce(F.try_divide(both, F.size(a) + F.size(b) - both), F.lit(0.0))
 
 
-def cosine(a: Column, b: Column) -> Column:
-    """Cosine of the angle between two number arrays of equal length."""
+def dot(a: Column, b: Column) -> Column:
+    """Inner product of two number arrays of equal length."""
+    products = F.zip_with(a, b, lambda p, q: p.cast("double") * q.cast("double"))
+    return F.aggregate(products, F.lit(0.0), lambda total, p: total + p)
 
-    def dot(u: Column, v: Column) -> Column:
-        products = F.zip_with(u, v, lambda p, q: p.cast("double") * q.cast("double"))
-        return F.aggregate(products, F.lit(0.0), lambda total, p: total + p)
 
-    return F.try_divide(dot(a, b), F.sqrt(dot(a, a)) * F.sqrt(dot(b, b)))
+def norm(a: Column) -> Column:
+    return F.sqrt(dot(a, a))
+
+
+def cosine(a: Column, b: Column, norm_a: Column, norm_b: Column) -> Column:
+    """Cosine of the angle between two number arrays whose norms are given."""
+    return F.try_divide(dot(a, b), norm_a * norm_b)
 
 
 def band_probability(s: Column, r: Column, b: Column) -> Column:

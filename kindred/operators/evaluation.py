@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kindred.functions.text import band_probability, char_set, cosine, jaccard
+from kindred.functions.text import band_probability, char_set, cosine, jaccard, norm
 from kindred.operators.banding import (
     SHINGLE,
     band_key,
@@ -107,13 +107,13 @@ def similar_char_total(docs: DataFrame) -> DataFrame:
 
     Documents with the same character set form one weighted row before the join.
     """
-    chars = balanced(docs, "doc_id").where("text is not null").select(
+    chars = balanced(docs, "doc_id").where(F.length("text") > 0).select(
         "doc_id", F.array_join(F.sort_array(char_set(F.col("text"))), "").alias("text")
     )
     sets = staged(
-        chars.where(F.length("text") > 0)
-        .groupBy("text")
-        .agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("n_copies")),
+        chars.groupBy("text").agg(
+            F.min("doc_id").alias("doc_id"), F.count("*").alias("n_copies")
+        ),
         "char-sets",
     )
     between = weighted(similar_pairs(sets, "char", SIMILAR, strict=True), sets)
@@ -317,11 +317,12 @@ def pair_table(
         "n_copies",
         F.array_distinct("signature").alias("values"),
         "signature",
+        norm(F.col("signature")).alias("norm"),
         band_keys(n_hashes, b, r).alias("keys"),
     )
     per_doc = join_counted(
         members.select("doc_id", "rep_id"), described, ["rep_id"], "n_copies"
-    ).select("doc_id", F.struct("values", "signature", "keys").alias("d"))
+    ).select("doc_id", F.struct("values", "signature", "norm", "keys").alias("d"))
     both = pairs.join(
         per_doc.select(F.col("doc_id").alias("x"), F.col("d").alias("dx")), "x"
     ).join(per_doc.select(F.col("doc_id").alias("y"), F.col("d").alias("dy")), "y")
@@ -329,7 +330,9 @@ def pair_table(
         "x",
         "y",
         jaccard(F.col("dx.values"), F.col("dy.values")).alias("jaccard"),
-        cosine(F.col("dx.signature"), F.col("dy.signature")).alias("cosine"),
+        cosine(
+            F.col("dx.signature"), F.col("dy.signature"), F.col("dx.norm"), F.col("dy.norm")
+        ).alias("cosine"),
         shares_band(F.col("dx.keys"), F.col("dy.keys")).alias("is_candidate"),
     )
     return normalized(staged(table, "pair-table"), "cosine", "cosine_norm")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kindred.functions.text import char_set, cosine, jaccard, shingle_set
+from kindred.functions.text import char_set, cosine, jaccard, norm, shingle_set
 from kindred.operators.banding import SHINGLE
 from kindred.operators.skew import join_counted, pairs_sharing_key
 from kindred.storage import staged
@@ -57,9 +57,8 @@ def with_similarity(
 def with_cosine(pairs: DataFrame, signed: DataFrame) -> DataFrame:
     """Add the cosine of the signatures of each pair."""
     both = _with_column_of_both(pairs, signed, "signature")
-    return both.withColumn("cosine", cosine(F.col("_of_x"), F.col("_of_y"))).drop(
-        "_of_x", "_of_y"
-    )
+    a, b = F.col("_of_x"), F.col("_of_y")
+    return both.withColumn("cosine", cosine(a, b, norm(a), norm(b))).drop("_of_x", "_of_y")
 
 
 def _least_overlap(size: Column, threshold: float) -> Column:

@@ -7,6 +7,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kindred.storage import staged
+
 # A key is heavy when it holds more than 1/HEAVY_SHARE of the counted rows, so
 # there are fewer than HEAVY_SHARE heavy keys whatever the size of the data.
 HEAVY_SHARE = 1000
@@ -71,12 +73,13 @@ def pairs_sharing_key(
     of keys the two share. ``members`` holds each (keys, id) once. A group of more
     than ``block_rows`` ids is cut into blocks, and every two blocks meet in a join
     cell of their own, so a large group spreads over many tasks and no list of its
-    members is ever built. ``keep`` tests a meeting of two members inside the join,
+    members is ever built. Members alone in their group, often nearly all, are dropped
+    before anything is stored or paired. ``keep`` tests a meeting of two members inside the join,
     by their ``carry`` columns, so that meetings that fail are never written out.
     """
     keys, within, carry = list(keys), list(within), list(carry)
     groups = members.groupBy(*keys).agg(F.count("*").alias("_n")).where("_n > 1")
-    sized = join_counted(members, groups, keys, "_n")
+    sized = staged(join_counted(members, groups, keys, "_n"), "grouped")
     blocks = F.ceil(F.col("_n") / block_rows).cast("int")
     placed = sized.select(
         *keys,

@@ -35,6 +35,10 @@ class Signed:
     groups: DataFrame
     signed: DataFrame
 
+    def texts(self) -> DataFrame:
+        """The documents in even parts, for comparing texts."""
+        return balanced(self.docs, "doc_id")
+
     def unique(self) -> DataFrame:
         return documents.unique_documents(self.docs, self.groups)
 
@@ -163,9 +167,9 @@ def candidate_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Candidates with their similarity in all three domains and the signature cosine."""
     stage = signed_documents(spark, sf_dir)
     pairs = stage.candidates()
-    scored = similarity.with_similarity(pairs, stage.docs, "char", name="sim_char")
+    scored = similarity.with_similarity(pairs, stage.texts(), "char", name="sim_char")
     scored = similarity.with_similarity(
-        scored, stage.docs, "shingle", SHINGLE, name="sim_shingle"
+        scored, stage.texts(), "shingle", SHINGLE, name="sim_shingle"
     )
     scored = similarity.with_similarity(scored, stage.signed, "signature", name="sim_signature")
     scored = similarity.with_cosine(scored, stage.signed)
@@ -193,7 +197,7 @@ def similar_documents(spark: SparkSession, sf_dir: str, domain: str) -> DataFram
     found = similarity.similar_documents(
         sampling.first_rows(stage.docs.select("doc_id"), 100),
         stage.members(),
-        stage.docs,
+        stage.texts(),
         stage.band_rows(),
         domain=domain,
         exclude_copies=domain == "char",
@@ -216,7 +220,7 @@ def _as_doubles(counts: DataFrame) -> DataFrame:
 
 
 def _scored(stage: Signed) -> DataFrame:
-    pairs = similarity.with_similarity(stage.candidates(), stage.docs, "char")
+    pairs = similarity.with_similarity(stage.candidates(), stage.texts(), "char")
     return evaluation.weighted(pairs, stage.signed)
 
 
@@ -242,7 +246,7 @@ def lsh_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
     n_documents = stage.docs.agg(F.count("*")).scalar()
     return _as_doubles(
         evaluation.sweep(
-            stage.docs, stage.signed, _similar_total(stage.docs), n_documents, N_HASHES
+            stage.texts(), stage.signed, _similar_total(stage.docs), n_documents, N_HASHES
         )
     )
 
@@ -320,7 +324,7 @@ def lsh_tune(spark: SparkSession, sf_dir: str) -> DataFrame:
     85 %, the lower one that of all others.
     """
     stage = signed_documents(spark, sf_dir)
-    scored = similarity.with_similarity(stage.candidates(), stage.docs, "shingle", SHINGLE)
+    scored = similarity.with_similarity(stage.candidates(), stage.texts(), "shingle", SHINGLE)
     levels = scored.agg(
         F.round(F.avg(F.when(F.col("sim") >= 0.85, F.col("sim"))), 4).alias("s1"),
         F.round(F.avg(F.when(F.col("sim") < 0.85, F.col("sim"))), 4).alias("s2"),
