@@ -4,32 +4,61 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Removed when the process ends.
-_local_folder: tempfile.TemporaryDirectory | None = None
+# Names of stages under the work folder, so that owners can delete what they wrote.
+_open_scopes: list[list[str]] = []
 
 
 def work_folder(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``, or set on the context.
 
-    A temporary folder is used only by a local session that names none; a
-    cluster session without a shared folder is refused.
+    Only a session that runs in one process may go without: it gets a folder of
+    its own, set on the context. Any other session must name a shared one.
     """
-    global _local_folder
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local["):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-    if _local_folder is None:
-        _local_folder = tempfile.TemporaryDirectory(prefix="kindred-")
-    return _local_folder.name
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not named:
+        if not (context.master == "local" or context.master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="kindred-"))
+        named = context.getCheckpointDir()
+    return named.rstrip("/")
+
+
+def _hadoop_path(spark: SparkSession, path: str):
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jvm_path, jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a stage from whatever file system it lies on."""
+    where, files = _hadoop_path(spark, path)
+    files.delete(where, True)
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
-    return f"{work_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    """A new path in the work folder, deleted when the application ends or its owner does."""
+    path = f"{work_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    where, files = _hadoop_path(spark, path)
+    files.deleteOnExit(where)
+    if _open_scopes:
+        _open_scopes[-1].append(path)
+    return path
+
+
+@contextmanager
+def owned_stages(spark: SparkSession) -> Iterator[None]:
+    """Deletes at its end every stage written inside; results must have been read by then."""
+    _open_scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _open_scopes.pop():
+            remove(spark, path)
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
