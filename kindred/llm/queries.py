@@ -5,18 +5,36 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kindred.llm import decontamination, license_scan, mixing, token_counts, warc
+from kindred.llm import (
+    decontamination,
+    fingerprints,
+    language,
+    license_scan,
+    mixing,
+    quality,
+    token_counts,
+    toxicity,
+    warc,
+)
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(read(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.contamination(
         read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")
@@ -35,11 +53,19 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(read(spark, sf_dir, "documents"))
 
 
+def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprints(read(spark, sf_dir, "documents"))
+
+
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = license_scan.scan(read(spark, sf_dir, "documents"))
     return found.withColumn("licenses", F.array_join("licenses", ","))
 
 
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.languages(read(spark, sf_dir, "documents"))
+
+
 def op10_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archived(read(spark, sf_dir, "pages")).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
@@ -47,9 +73,13 @@ def op10_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
     "op2_mix_sources": op2_mix_sources,
+    "op3_quality": op3_quality,
     "op5_decontamination": op5_decontamination,
     "op6_token_counts": op6_token_counts,
+    "op7_fingerprints": op7_fingerprints,
     "op8_license_scan": op8_license_scan,
+    "op9_language": op9_language,
     "op10_warc_revisits": op10_warc_revisits,
 }
