@@ -254,7 +254,7 @@ def with_following(docs: DataFrame, n_ranges: int | None = None) -> DataFrame:
     """
     spark = docs.sparkSession
     if n_ranges is None:
-        n_ranges = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+        n_ranges = 8 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     bounds = _bounds_of_ranges(docs, n_ranges)
 
     def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -54,3 +56,12 @@ def drawn_examples(docs: DataFrame, known: DataFrame, per_class: int, seed: str)
     """
     drawn = sample_of_classes(known, "label", per_class, 2, seed)
     return docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id")
+
+
+def kept_by_score(docs: DataFrame, score: Callable[[DataFrame], DataFrame], keep: Column) -> DataFrame:
+    """Rows of ``docs`` whose ``score`` is good, in the columns of ``docs`` and without a join.
+
+    The columns travel in one struct, so that none of them can clash with the score's.
+    """
+    rows = docs.select(F.struct(*docs.columns).alias("_row"), "text")
+    return score(rows).where(keep).select("_row.*")

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kindred.llm.labelled import drawn_examples, known_labels, remainder
+from kindred.llm.labelled import drawn_examples, kept_by_score, known_labels, remainder
 from kindred.llm.textbytes import groups_of_documents, text_bytes
 
 # A filter sees two blocks of four bytes and moves one block at a time.
@@ -239,3 +239,9 @@ def quality(docs: DataFrame, labels: DataFrame, accept: float = 0.3) -> DataFram
     return score(docs.select("doc_id", "text"), net).select(
         "doc_id", held.alias("held_out"), "score", (F.col("score") >= accept).cast("int").alias("predicted")
     )
+
+
+def without_poor(docs: DataFrame, labels: DataFrame, accept: float = 0.3) -> DataFrame:
+    """The documents that score at least ``accept``, with all their columns."""
+    net = train(docs, known_labels(labels, "quality"))
+    return kept_by_score(docs, lambda rows: score(rows, net), F.col("score") >= accept)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from kindred.llm import (
     decontamination,
     fingerprints,
+    jaccard_join,
     language,
     license_scan,
     mixing,
@@ -35,6 +36,11 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = jaccard_join.near_duplicates(read(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.contamination(
         read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")
@@ -76,6 +82,7 @@ QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_mix_sources": op2_mix_sources,
     "op3_quality": op3_quality,
+    "op4_jaccard_join": op4_jaccard_join,
     "op5_decontamination": op5_decontamination,
     "op6_token_counts": op6_token_counts,
     "op7_fingerprints": op7_fingerprints,

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kindred.llm.labelled import drawn_examples, known_labels, remainder
+from kindred.llm.labelled import drawn_examples, kept_by_score, known_labels, remainder
 from kindred.llm.textbytes import WordHasher, groups_of_documents, text_bytes, word_spans
 
 DIMENSIONS = 1 << 20
@@ -283,3 +283,9 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return score(docs.select("doc_id", "text"), model).select(
         "doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
     )
+
+
+def without_toxic(docs: DataFrame, labels: DataFrame, reject: float = 0.5) -> DataFrame:
+    """The documents that score below ``reject``, with all their columns."""
+    model = train(docs, known_labels(labels, "toxic"))
+    return kept_by_score(docs, lambda rows: score(rows, model), F.col("score") < reject)
