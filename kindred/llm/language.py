@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from kindred.llm.labelled import remainder, sample_of_classes
 
@@ -218,10 +219,9 @@ def predict(docs: DataFrame, model: LanguageModel) -> DataFrame:
                 names=[*others, "lang_pred", "score"],
             )
 
-    shape = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in others)
-    return docs.select(*others, "text").mapInArrow(
-        predicted, f"{shape}, lang_pred string, score double"
-    )
+    shape = StructType([docs.schema[c] for c in others])
+    shape = shape.add("lang_pred", "string").add("score", "double")
+    return docs.select(*others, "text").mapInArrow(predicted, shape)
 
 
 def languages(docs: DataFrame) -> DataFrame:

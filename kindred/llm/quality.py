@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from kindred.llm.labelled import drawn_examples, kept_by_score, known_labels, remainder
 from kindred.llm.textbytes import groups_of_documents, text_bytes
@@ -222,8 +223,8 @@ def score(docs: DataFrame, net: ByteNetwork) -> DataFrame:
                 [batch.column(c) for c in others] + [pa.array(found)], names=[*others, "score"]
             )
 
-    shape = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in others)
-    return docs.select(*others, "text").mapInArrow(scored, f"{shape}, score double")
+    shape = StructType([docs.schema[c] for c in others])
+    return docs.select(*others, "text").mapInArrow(scored, shape.add("score", "double"))
 
 
 def quality(docs: DataFrame, labels: DataFrame, accept: float = 0.3) -> DataFrame:
