@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -70,3 +71,13 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     path = fresh_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def free_shuffles(spark: SparkSession) -> None:
+    """Have the driver give up shuffle files of tables that nothing refers to any more.
+
+    Spark deletes them when the driver's garbage is collected, which on a driver with little
+    to do may come hours after a stage has been stored.
+    """
+    gc.collect()
+    spark._jvm.System.gc()
