@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import time
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -79,5 +80,7 @@ def free_shuffles(spark: SparkSession) -> None:
     Spark deletes them when the driver's garbage is collected, which on a driver with little
     to do may come hours after a stage has been stored.
     """
-    gc.collect()
-    spark._jvm.System.gc()
+    for _ in range(2):
+        gc.collect()
+        spark._jvm.System.gc()
+        time.sleep(0.2)
