@@ -121,7 +121,7 @@ class WordHasher:
     def words(self, column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
         """``(low, high, hashes, owner)``: the words of documents low to high, in order."""
         data, offsets = text_bytes(column)
-        for low, high in groups_of_documents(offsets):
+        for low, high in groups_of_documents(offsets, PIECE):
             part = data[offsets[low] : offsets[high]]
             if len(part) <= PIECE:
                 starts, ends, owner = word_spans(part, offsets[low : high + 1] - offsets[low], self.blank)
