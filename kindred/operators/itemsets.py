@@ -5,18 +5,18 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kindred.operators.baskets import BasketShape, basket_shape, basket_sizes
+from kindred.operators.baskets import BasketShape, basket_shape
 from kindred.operators.skew import join_counted, spread_by
 from kindred.storage import staged
 
 # Strict lower bounds on counts per itemset size.
 COUNT_THRESHOLDS = {1: 1000, 2: 2, 3: 2}
 
-# Baskets with more frequent items than this are counted by lookup.
-WIDE_BASKET = 1000
+# Items of one basket that meet within one join cell.
+ITEM_BLOCK = 256
 
 
 def support_bound(threshold: int | float, n_baskets: int) -> float:
@@ -39,45 +39,38 @@ def _as_itemsets(counted: DataFrame, k: int) -> DataFrame:
     )
 
 
-def _wide_baskets(rows: DataFrame, bound: float, wide_basket: int) -> DataFrame:
-    """The largest baskets of more than ``wide_basket`` items, as many as may be set apart.
-
-    An itemset above its support bound must lie in more baskets than the bound, so
-    with no more than that many baskets set apart it is still found in one of the
-    others. The running total is over distinct wide sizes only.
-    """
-    wide = basket_sizes(rows).where(F.col("n_items") > wide_basket)
-    at_least = Window.orderBy(F.desc("n_items"))
-    cut = (
-        wide.groupBy("n_items")
-        .agg(F.count("*").alias("n"))
-        .select("n_items", F.sum("n").over(at_least).alias("running"))
-        .where(F.col("running") <= bound)
-        .agg(F.min("n_items"))
-    )
-    return wide.where(F.col("n_items") >= cut.scalar()).select("basket")
-
-
-def _wide_counts(counted: DataFrame, wide_rows: DataFrame, k: int) -> DataFrame:
-    """How many wide baskets hold each of the given itemsets, by one lookup per item."""
-    found = counted.select(*_columns(k))
-    for position, column in enumerate(_columns(k)):
-        lookup = wide_rows.select("basket", F.col("item").alias(column))
-        found = found.join(lookup, column if position == 0 else ["basket", column])
-    return found.groupBy(*_columns(k)).agg(F.count("*").alias("_wide_cnt"))
-
-
-def _extend(occurrences: DataFrame, k: int) -> DataFrame:
+def _extend(occurrences: DataFrame, k: int, block: int = ITEM_BLOCK) -> DataFrame:
     """Itemsets of size k in each basket, from two of size k-1 that differ in the last item.
 
-    The join keys are the basket and the shared leading items; matching rows
-    stream through the join, so a basket's combinations are never held as a list.
+    Every group of itemsets with the same basket and leading items is cut into blocks of
+    ``block`` items, and every two blocks meet in a cell of their own: a wide basket
+    spreads over many tasks, and its combinations are never held as a list.
     """
     *leading, before, last = _columns(k)
     keys = ["basket", *leading]
-    keyed = spread_by(occurrences, keys)
-    others = keyed.withColumnRenamed(before, last)
-    return keyed.join(others, keys).where(F.col(before) < F.col(last))
+    sizes = occurrences.groupBy(*keys).agg(F.count("*").alias("_n")).where("_n > 1")
+    blocks = F.ceil(F.col("_n") / block).cast("int")
+    placed = occurrences.join(sizes, keys).select(
+        *keys,
+        F.col(before).alias("_item"),
+        blocks.alias("_blocks"),
+        F.pmod(F.xxhash64(before), blocks).cast("int").alias("_block"),
+    )
+    left = placed.select(
+        *keys,
+        F.col("_item").alias("_a"),
+        F.col("_block").alias("_low"),
+        F.explode(F.sequence("_block", F.col("_blocks") - 1)).alias("_high"),
+    )
+    right = placed.select(
+        *keys,
+        F.col("_item").alias("_b"),
+        F.explode(F.sequence(F.lit(0), "_block")).alias("_low"),
+        F.col("_block").alias("_high"),
+    )
+    cell = [*keys, "_low", "_high"]
+    met = spread_by(left, cell).join(spread_by(right, cell), cell).where("_low < _high or _a < _b")
+    return met.select(*keys, F.least("_a", "_b").alias(before), F.greatest("_a", "_b").alias(last))
 
 
 def has_frequent_subsets(candidates: DataFrame, smaller: DataFrame, k: int) -> DataFrame:
@@ -98,7 +91,6 @@ def frequent_itemsets(
     rows: DataFrame,
     thresholds: Mapping[int, int | float] = COUNT_THRESHOLDS,
     max_k: int = 3,
-    wide_basket: int = WIDE_BASKET,
     shape: BasketShape | None = None,
 ) -> DataFrame:
     """``(k, items, cnt)`` of all itemsets of up to ``max_k`` items above their threshold.
@@ -117,24 +109,13 @@ def frequent_itemsets(
     kept = staged(
         join_counted(rows, singles, ["item"], "cnt").select("basket", "item"), "kept-items"
     )
-    regular, wide_rows = kept, None
-    if shape.widest > wide_basket:
-        smallest_bound = min(bounds[k] for k in range(2, max_k + 1))
-        wide = staged(_wide_baskets(kept, smallest_bound, wide_basket), "wide-baskets")
-        regular = kept.join(wide, "basket", "left_anti")
-        wide_rows = staged(kept.join(wide, "basket", "left_semi"), "wide-rows")
-
-    occurrences = regular.withColumnRenamed("item", "i1")
+    occurrences = kept.withColumnRenamed("item", "i1")
     for k in range(2, max_k + 1):
         columns = _columns(k)
         extended = _extend(occurrences, k)
+        if k < max_k:
+            extended = staged(extended, f"occurrences-{k}")
         counted = extended.groupBy(*columns).agg(F.count("*").alias("cnt"))
-        if wide_rows is not None:
-            counted = staged(counted, f"regular-counts-{k}")
-            everywhere = F.col("cnt") + F.coalesce("_wide_cnt", F.lit(0))
-            counted = counted.join(_wide_counts(counted, wide_rows, k), columns, "left").select(
-                *columns, everywhere.alias("cnt")
-            )
         frequent = counted.where(F.col("cnt") > bounds[k])
         if k > 2:
             frequent = has_frequent_subsets(frequent, smaller, k)

@@ -37,15 +37,14 @@ def join_counted(
 
 
 def balanced(rows: DataFrame, key: str) -> DataFrame:
-    """Spread a scan of few splits over all cores; a scan of many splits stays as it is.
+    """Spread a scan over as many tasks as the session setting ``spark.kindred.spread`` names.
 
-    Cutting up and hashing text takes far longer than reading it, and one small
-    file would otherwise be one task. To be applied to a bare scan.
+    Without that setting, the default, a scan stays as it is, and no text is shuffled
+    before it is hashed. It helps where a table is one small file that Spark cannot
+    split, as cutting up and hashing text takes far longer than reading it.
     """
-    slots = rows.sparkSession.sparkContext.defaultParallelism
-    if rows.rdd.getNumPartitions() >= 4 * slots:
-        return rows
-    return rows.repartition(4 * slots, key)
+    spread = rows.sparkSession.conf.get("spark.kindred.spread", None)
+    return rows.repartition(int(spread), key) if spread else rows
 
 
 def spread_by(rows: DataFrame, keys: Sequence[str]) -> DataFrame:

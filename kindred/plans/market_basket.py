@@ -123,6 +123,23 @@ def bernoulli_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def bernoulli_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What holds of a Bernoulli sample whatever the random numbers: its rows are rows of the
+    table, each at most once, and about 6 % of them, within six standard deviations."""
+    events = table(spark, sf_dir, "events")
+    taken = sampling.bernoulli_sample(events).select("event_id", F.lit(1).alias("taken"))
+    counted = events.groupBy("event_id").agg(F.count("*").alias("n")).join(
+        taken.groupBy("event_id").agg(F.sum("taken").alias("n_taken")), "event_id", "full_outer"
+    )
+    n, n_taken = F.sum("n"), F.coalesce(F.sum("n_taken"), F.lit(0))
+    return counted.agg(
+        n.alias("n_rows"),
+        F.count_if(F.col("n").isNull()).alias("n_foreign"),
+        F.count_if(F.col("n_taken") > F.col("n")).alias("n_repeated"),
+        (F.abs(n_taken - n * 0.06) <= 6 * F.sqrt(n * 0.06 * 0.94)).alias("share_holds"),
+    )
+
+
 def row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows in all, rows in the hash sample, baskets of the sample."""
     events = table(spark, sf_dir, "events").select("event_id", "user_id", "ts")

@@ -53,10 +53,14 @@ class Signed:
 
 
 def sign(docs: DataFrame) -> Signed:
-    keyed = staged(documents.keyed_texts(docs), "text-keys")
+    """Digest and signature are worked out side by side where a text is read.
+
+    Only ids, digests and signatures are shuffled, never a text; copies are hashed each.
+    """
+    hashed = staged(documents.hashed_texts(balanced(docs, "doc_id"), N_HASHES, SHINGLE), "hashed")
+    keyed = hashed.select("doc_id", "text_key")
     groups = staged(documents.copy_groups(keyed), "copy-groups")
-    unique = documents.unique_documents(docs, groups)
-    signed = staged(banding.signatures(unique, N_HASHES, SHINGLE), "signatures")
+    signed = staged(documents.signed_groups(hashed), "signatures")
     return Signed(docs, keyed, groups, signed)
 
 
@@ -140,6 +144,12 @@ def copy_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents.copy_groups(keyed).select("rep_id", "n_copies")
 
 
+def copy_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its text's representative and number of copies."""
+    keyed = staged(documents.keyed_texts(read_documents(spark, sf_dir)), "text-keys")
+    return documents.copy_members(keyed, documents.copy_groups(keyed))
+
+
 def minhash_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Signature of every document, copies included, as comma-joined values."""
     docs = balanced(read_documents(spark, sf_dir), "doc_id")

@@ -13,8 +13,9 @@ def read_csv_columns(
 ) -> DataFrame:
     """Named columns of a delimited file with a header row, all as strings.
 
-    Columns are found by header name, so the file may hold others. Compressed
-    files are read as they are. ``multiline`` admits quoted line breaks, at the
+    Columns are found by header name, so the file may hold others. All files under the path
+    must have the same header; one that differs stops the job instead of giving wrong
+    columns. Compressed files are read as they are. ``multiline`` admits quoted line breaks, at the
     price of one task per file.
     """
     return (
@@ -23,6 +24,7 @@ def read_csv_columns(
         .option("escape", '"')
         .option("multiLine", multiline)
         .option("inferSchema", False)
+        .option("enforceSchema", False)
         .csv(path)
         .select(*columns)
     )
@@ -45,9 +47,13 @@ def read_basket_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_json_documents(spark: SparkSession, path: str, id_type: str = "string") -> DataFrame:
-    """JSON lines with ``tweet_id`` and ``text``, as ``doc_id`` and ``text``."""
+    """JSON lines with ``tweet_id`` and ``text``, as ``doc_id`` and ``text``.
+
+    A line that is no such object stops the job.
+    """
     return (
         spark.read.schema(f"tweet_id {id_type}, text string")
+        .option("mode", "FAILFAST")
         .json(path)
         .select(F.col("tweet_id").alias("doc_id"), "text")
     )

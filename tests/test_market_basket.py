@@ -50,14 +50,14 @@ def test_itemsets_equal_brute_force(spark, thresholds):
     assert collected(found) == brute_force(content, thresholds)
 
 
-@pytest.mark.parametrize("wide_basket", [1, 4, 5])
-def test_wide_baskets_change_nothing(spark, wide_basket):
-    content = random_baskets(60, seed=3)
-    content[999] = [str(code) for code in range(7, 19)]
-    thresholds = {1: 3, 2: 4, 3: 3}
-    found = itemsets.frequent_itemsets(
-        as_rows(spark, content), thresholds, wide_basket=wide_basket
-    )
+@pytest.mark.parametrize("block", [1, 3, 256])
+def test_equally_wide_baskets_equal_brute_force(spark, monkeypatch, block):
+    monkeypatch.setattr(itemsets._extend, "__defaults__", (block,))
+    content = random_baskets(30, seed=3)
+    for extra in range(5):
+        content[900 + extra] = [str(code) for code in range(7 + extra, 21 + extra)]
+    thresholds = {1: 2, 2: 2, 3: 2}
+    found = itemsets.frequent_itemsets(as_rows(spark, content), thresholds)
     assert collected(found) == brute_force(content, thresholds)
 
 
