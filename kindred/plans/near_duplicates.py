@@ -18,8 +18,9 @@ from kindred.storage import fresh_path, staged
 N_HASHES = 200
 SHINGLE = 8
 BANDS, ROWS = 20, 10
-# Shingle length for cleaned text.
+# Shingle length, hashes and bands for cleaned text.
 CLEAN_SHINGLE = 3
+CLEAN_HASHES, CLEAN_BANDS = 150, 15
 
 
 @dataclass
@@ -34,6 +35,7 @@ class Signed:
     keyed: DataFrame
     groups: DataFrame
     signed: DataFrame
+    n_hashes: int = N_HASHES
 
     def texts(self) -> DataFrame:
         """The documents in even parts, for comparing texts."""
@@ -46,22 +48,22 @@ class Signed:
         return staged(documents.copy_members(self.keyed, self.groups), "members")
 
     def band_rows(self, b: int = BANDS, r: int = ROWS) -> DataFrame:
-        return staged(banding.band_rows(self.signed, b, r, N_HASHES), "bands")
+        return staged(banding.band_rows(self.signed, b, r, self.n_hashes), "bands")
 
     def candidates(self, b: int = BANDS, r: int = ROWS) -> DataFrame:
         return staged(similarity.candidate_pairs(self.band_rows(b, r)), "candidates")
 
 
-def sign(docs: DataFrame) -> Signed:
+def sign(docs: DataFrame, n_hashes: int = N_HASHES, k: int = SHINGLE) -> Signed:
     """Digest and signature are worked out side by side where a text is read.
 
     Only ids, digests and signatures are shuffled, never a text; copies are hashed each.
     """
-    hashed = staged(documents.hashed_texts(balanced(docs, "doc_id"), N_HASHES, SHINGLE), "hashed")
+    hashed = staged(documents.hashed_texts(balanced(docs, "doc_id"), n_hashes, k), "hashed")
     keyed = hashed.select("doc_id", "text_key")
     groups = staged(documents.copy_groups(keyed), "copy-groups")
     signed = staged(documents.signed_groups(hashed), "signatures")
-    return Signed(docs, keyed, groups, signed)
+    return Signed(docs, keyed, groups, signed, n_hashes)
 
 
 def signed_documents(spark: SparkSession, sf_dir: str) -> Signed:
@@ -150,12 +152,20 @@ def copy_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents.copy_members(keyed, documents.copy_groups(keyed))
 
 
+def _joined_signatures(docs: DataFrame, n_hashes: int, k: int) -> DataFrame:
+    joined = F.array_join(F.col("signature").cast("array<string>"), ",")
+    return banding.signatures(docs, n_hashes, k).select("doc_id", joined.alias("signature"))
+
+
 def minhash_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Signature of every document, copies included, as comma-joined values."""
     docs = balanced(read_documents(spark, sf_dir), "doc_id")
-    signed = banding.signatures(docs, N_HASHES, SHINGLE)
-    joined = F.array_join(F.col("signature").cast("array<string>"), ",")
-    return signed.select("doc_id", joined.alias("signature"))
+    return _joined_signatures(docs, N_HASHES, SHINGLE)
+
+
+def clean_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Signatures of 150 minima over the 3-character shingles of cleaned texts."""
+    return _joined_signatures(cleaned(spark, sf_dir), CLEAN_HASHES, CLEAN_SHINGLE)
 
 
 def lsh_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -163,16 +173,25 @@ def lsh_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("band").cast("bigint").alias("band"), "key", "n_docs", "first_doc")
 
 
-def lsh_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Candidate pairs of distinct texts, and how many document pairs each stands for."""
-    stage = signed_documents(spark, sf_dir)
+def _candidates(stage: Signed, b: int) -> DataFrame:
     return (
-        evaluation.weighted(stage.candidates(), stage.signed)
+        evaluation.weighted(stage.candidates(b), stage.signed)
         .withColumn("n_pairs", F.col("weight").cast("double"))
         .select("x", "y", "n_bands", "n_pairs")
     )
 
 
+def lsh_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Candidate pairs of distinct texts, and how many document pairs each stands for."""
+    return _candidates(signed_documents(spark, sf_dir), BANDS)
+
+
+def clean_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same for cleaned texts: 150 hashes in 15 bands of 10."""
+    docs = read_documents(spark, sf_dir).withColumn("text", clean_text(F.col("text")))
+    return _candidates(sign(docs, CLEAN_HASHES, CLEAN_SHINGLE), CLEAN_BANDS)
+
+
 def candidate_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Candidates with their similarity in all three domains and the signature cosine."""
     stage = signed_documents(spark, sf_dir)

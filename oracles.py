@@ -9,7 +9,15 @@ from __future__ import annotations
 from kindred.functions.minhash import PRIME, hash_family, place_values
 from kindred.operators.evaluation import SWEEP
 from kindred.plans.market_basket import EVENT_SUPPORT, ORDER_SUPPORT
-from kindred.plans.near_duplicates import BANDS, CLEAN_SHINGLE, N_HASHES, ROWS, SHINGLE
+from kindred.plans.near_duplicates import (
+    BANDS,
+    CLEAN_BANDS,
+    CLEAN_HASHES,
+    CLEAN_SHINGLE,
+    N_HASHES,
+    ROWS,
+    SHINGLE,
+)
 
 # --- market basket ---------------------------------------------------------
 
@@ -172,6 +180,9 @@ uniq AS (SELECT min(doc_id) AS doc_id, text, count(*) AS n_copies
 CLEAN = r"lower(trim(regexp_replace({0}, '[^\p{{L}}\p{{N}}_]+', ' ', 'g')))"
 
 
+CLEANED = f"cleaned AS (SELECT doc_id, {CLEAN.format('text')} AS text FROM documents)"
+
+
 def grams(name: str, source: str, k: int, text: str = "text") -> str:
     """CTE of the distinct shingles of ``source``."""
     gram = " || ".join(f"c[i + {j}]" for j in range(k))
@@ -181,20 +192,20 @@ def grams(name: str, source: str, k: int, text: str = "text") -> str:
        unnest(range(1, len(c) - {k} + 2)) AS t(i))"""
 
 
-def signature_cte(source: str) -> str:
+def signature_cte(source: str, n_hashes: int = N_HASHES, k: int = SHINGLE) -> str:
     """CTE ``sigs``: MinHash signatures of ``source``."""
-    weights = place_values(SHINGLE)
+    weights = place_values(k)
     base = " + ".join(f"c[i + {j}] * {weight}" for j, weight in enumerate(weights))
     minima = ", ".join(
-        f"min(({a} * x + {b}) % {PRIME})" for a, b in hash_family(N_HASHES)
+        f"min(({a} * x + {b}) % {PRIME})" for a, b in hash_family(n_hashes)
     )
     return f"""
 sigs AS (SELECT doc_id, [{minima}] AS sig
   FROM (SELECT doc_id, ({base}) % {PRIME} AS x
         FROM (SELECT doc_id,
                      list_transform(string_split(text, ''), lambda z: ord(z)::BIGINT) AS c
-              FROM {source} WHERE length(text) >= {SHINGLE}),
-             unnest(range(1, len(c) - {SHINGLE} + 2)) AS t(i))
+              FROM {source} WHERE length(text) >= {k}),
+             unnest(range(1, len(c) - {k} + 2)) AS t(i))
   GROUP BY doc_id)"""
 
 
@@ -210,10 +221,12 @@ def pairs_select(bands: str) -> str:
   GROUP BY a.doc_id, b.doc_id"""
 
 
-def stage(source: str) -> str:
+def stage(
+    source: str, n_hashes: int = N_HASHES, k: int = SHINGLE, b: int = BANDS, r: int = ROWS
+) -> str:
     """CTEs from signatures to candidate pairs of ``source``."""
-    return f"""{signature_cte(source)},
-bands AS ({band_select(BANDS, ROWS)}),
+    return f"""{signature_cte(source, n_hashes, k)},
+bands AS ({band_select(b, r)}),
 cand AS ({pairs_select('bands')})"""
 
 
@@ -391,6 +404,14 @@ SELECT g AS shingle, count(*) AS n_docs FROM grams GROUP BY g""",
     "copy_groups": f"WITH {UNIQUE} SELECT doc_id AS rep_id, n_copies FROM uniq",
     "minhash_signatures": f"""WITH {signature_cte('documents')}
 SELECT doc_id, array_to_string(sig, ',') AS signature FROM sigs""",
+    "clean_signatures": f"""WITH {CLEANED},{signature_cte('cleaned', CLEAN_HASHES, CLEAN_SHINGLE)}
+SELECT doc_id, array_to_string(sig, ',') AS signature FROM sigs""",
+    "clean_candidates": f"""WITH {CLEANED},
+clean_uniq AS (SELECT min(doc_id) AS doc_id, text, count(*) AS n_copies
+  FROM cleaned WHERE text IS NOT NULL GROUP BY text),
+{stage('clean_uniq', CLEAN_HASHES, CLEAN_SHINGLE, CLEAN_BANDS)}
+SELECT x, y, n_bands, (a.n_copies * b.n_copies)::DOUBLE AS n_pairs
+FROM cand JOIN clean_uniq a ON a.doc_id = x JOIN clean_uniq b ON b.doc_id = y""",
     "lsh_buckets": f"""WITH {UNIQUE},{signature_cte('uniq')},
 bands AS ({band_select(BANDS, ROWS)})
 SELECT band, key, count(*) AS n_docs, min(doc_id) AS first_doc
