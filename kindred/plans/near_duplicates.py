@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kindred.functions.text import clean_text, ngrams
@@ -21,6 +21,10 @@ BANDS, ROWS = 20, 10
 # Shingle length, hashes and bands for cleaned text.
 CLEAN_SHINGLE = 3
 CLEAN_HASHES, CLEAN_BANDS = 150, 15
+# Cuts of the signature that go wrong on purpose: long rows miss similar pairs, short
+# rows bring in unlike ones.
+LONG_BANDS, LONG_ROWS = 10, 20
+SHORT_BANDS, SHORT_ROWS = 100, 2
 
 
 @dataclass
@@ -152,9 +156,10 @@ def copy_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents.copy_members(keyed, documents.copy_groups(keyed))
 
 
-def _joined_signatures(docs: DataFrame, n_hashes: int, k: int) -> DataFrame:
+def _joined_signatures(docs: DataFrame, n_hashes: int, k: int, **variant: bool) -> DataFrame:
     joined = F.array_join(F.col("signature").cast("array<string>"), ",")
-    return banding.signatures(docs, n_hashes, k).select("doc_id", joined.alias("signature"))
+    signed = banding.signatures(docs, n_hashes, k, **variant)
+    return signed.select("doc_id", joined.alias("signature"))
 
 
 def minhash_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -163,13 +168,22 @@ def minhash_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _joined_signatures(docs, N_HASHES, SHINGLE)
 
 
+def literal_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Signatures without the last shingle; texts left without one share a sentinel's."""
+    docs = balanced(read_documents(spark, sf_dir), "doc_id")
+    return _joined_signatures(docs, N_HASHES, SHINGLE, drop_last=True, keep_empty=True)
+
+
 def clean_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Signatures of 150 minima over the 3-character shingles of cleaned texts."""
     return _joined_signatures(cleaned(spark, sf_dir), CLEAN_HASHES, CLEAN_SHINGLE)
 
 
-def lsh_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = banding.buckets(signed_documents(spark, sf_dir).band_rows())
+def lsh_buckets(spark: SparkSession, sf_dir: str, literal: bool = False) -> DataFrame:
+    """Buckets of more than one text; ``literal`` leaves the last band out."""
+    signed = signed_documents(spark, sf_dir).signed
+    rows = staged(banding.band_rows(signed, BANDS, ROWS, N_HASHES, literal), "bands")
+    found = banding.buckets(rows)
     return found.select(F.col("band").cast("bigint").alias("band"), "key", "n_docs", "first_doc")
 
 
@@ -186,10 +200,17 @@ def lsh_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _candidates(signed_documents(spark, sf_dir), BANDS)
 
 
+def _clean_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_documents(spark, sf_dir).withColumn("text", clean_text(F.col("text")))
+
+
+def _clean_signed(spark: SparkSession, sf_dir: str) -> Signed:
+    return sign(_clean_documents(spark, sf_dir), CLEAN_HASHES, CLEAN_SHINGLE)
+
+
 def clean_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same for cleaned texts: 150 hashes in 15 bands of 10."""
-    docs = read_documents(spark, sf_dir).withColumn("text", clean_text(F.col("text")))
-    return _candidates(sign(docs, CLEAN_HASHES, CLEAN_SHINGLE), CLEAN_BANDS)
+    return _candidates(_clean_signed(spark, sf_dir), CLEAN_BANDS)
 
 
 def candidate_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -235,6 +256,21 @@ def similar_documents(spark: SparkSession, sf_dir: str, domain: str) -> DataFram
     return found.withColumn("sim", F.round("sim", 6))
 
 
+def similar_clean_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same look-up by the shingles of cleaned texts, copies included."""
+    stage = _clean_signed(spark, sf_dir)
+    found = similarity.similar_documents(
+        sampling.first_rows(stage.docs.select("doc_id"), 100),
+        stage.members(),
+        stage.texts(),
+        stage.band_rows(CLEAN_BANDS),
+        domain="shingle",
+        exclude_copies=False,
+        k=CLEAN_SHINGLE,
+    )
+    return found.withColumn("sim", F.round("sim", 6))
+
+
 def _as_doubles(counts: DataFrame) -> DataFrame:
     """Pair counts as doubles, rates rounded."""
     columns = []
@@ -248,8 +284,8 @@ def _as_doubles(counts: DataFrame) -> DataFrame:
     return counts.select(*columns)
 
 
-def _scored(stage: Signed) -> DataFrame:
-    pairs = similarity.with_similarity(stage.candidates(), stage.texts(), "char")
+def _scored(stage: Signed, b: int = BANDS, r: int = ROWS) -> DataFrame:
+    pairs = similarity.with_similarity(stage.candidates(b, r), stage.texts(), "char")
     return evaluation.weighted(pairs, stage.signed)
 
 
@@ -263,9 +299,11 @@ def _similar_total(docs: DataFrame):
     return staged(evaluation.similar_char_total(docs), "similar-total").scalar()
 
 
-def lsh_fp_fn(spark: SparkSession, sf_dir: str) -> DataFrame:
+def lsh_fp_fn(
+    spark: SparkSession, sf_dir: str, b: int = BANDS, r: int = ROWS
+) -> DataFrame:
     stage = signed_documents(spark, sf_dir)
-    counts = evaluation.pair_counts(_scored(stage), stage.signed)
+    counts = evaluation.pair_counts(_scored(stage, b, r), stage.signed)
     n_documents = stage.docs.agg(F.count("*")).scalar()
     return _as_doubles(evaluation.error_rates(counts, _similar_total(stage.docs), n_documents))
 
@@ -287,11 +325,13 @@ def lsh_set_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def lsh_missed_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+def lsh_missed_pairs(
+    spark: SparkSession, sf_dir: str, b: int = BANDS, r: int = ROWS
+) -> DataFrame:
     """Pairs similar by shingles that banding does not find."""
     stage = signed_documents(spark, sf_dir)
     similar = similarity.similar_pairs(stage.unique(), "shingle", 0.85, k=SHINGLE)
-    return evaluation.without(similar.select("x", "y"), stage.candidates())
+    return evaluation.without(similar.select("x", "y"), stage.candidates(b, r))
 
 
 def lsh_false_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -303,9 +343,19 @@ def lsh_false_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def lsh_sampled_fp_fn(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Error rates averaged over ten samples of a hundred documents."""
-    rates = evaluation.sampled_error_rates(
-        read_documents(spark, sf_dir), BANDS, ROWS, N_HASHES, k=SHINGLE
+    docs = read_documents(spark, sf_dir)
+    return _mean_rates(evaluation.sampled_error_rates(docs, BANDS, ROWS, N_HASHES, k=SHINGLE))
+
+
+def clean_sampled_fp_fn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same for cleaned texts: 150 hashes in 15 bands of 10."""
+    docs = _clean_documents(spark, sf_dir)
+    return _mean_rates(
+        evaluation.sampled_error_rates(docs, CLEAN_BANDS, ROWS, CLEAN_HASHES, k=CLEAN_SHINGLE)
     )
+
+
+def _mean_rates(rates: DataFrame) -> DataFrame:
     return rates.agg(
         F.count("*").alias("n_samples"),
         F.sum("n_fp").alias("n_fp"),
@@ -349,14 +399,20 @@ def s_curve_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
 def lsh_tune(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tuning grid for the similarity levels met among the candidates.
 
-    The upper level is the mean shingle similarity of the candidates of at least
-    85 %, the lower one that of all others.
+    The upper level is the mean shingle similarity of the candidate document pairs of at
+    least 85 %, pairs of copies included, the lower one that of all others.
     """
     stage = signed_documents(spark, sf_dir)
-    scored = similarity.with_similarity(stage.candidates(), stage.texts(), "shingle", SHINGLE)
-    levels = scored.agg(
-        F.round(F.avg(F.when(F.col("sim") >= 0.85, F.col("sim"))), 4).alias("s1"),
-        F.round(F.avg(F.when(F.col("sim") < 0.85, F.col("sim"))), 4).alias("s2"),
+    pairs = similarity.with_similarity(stage.candidates(), stage.texts(), "shingle", SHINGLE)
+    sim, weight = F.col("sim"), F.col("weight").cast("double")
+    copies = evaluation.copy_pairs(stage.signed).cast("double")
+
+    def mean(rows: Column, more: Column) -> Column:
+        total = [F.coalesce(F.sum(F.when(rows, c)), F.lit(0.0)) + more for c in (weight * sim, weight)]
+        return F.round(F.try_divide(*total), 4)
+
+    levels = evaluation.weighted(pairs, stage.signed).agg(
+        mean(sim >= 0.85, copies).alias("s1"), mean(sim < 0.85, F.lit(0.0)).alias("s2")
     )
     grid = evaluation.tuning_grid(staged(levels, "levels"), 50, 50, N_HASHES)
     best = evaluation.best_setting(grid).select("b", "r", F.lit(True).alias("is_best"))

@@ -14,9 +14,13 @@ from kindred.plans.near_duplicates import (
     CLEAN_BANDS,
     CLEAN_HASHES,
     CLEAN_SHINGLE,
+    LONG_BANDS,
+    LONG_ROWS,
     N_HASHES,
     ROWS,
     SHINGLE,
+    SHORT_BANDS,
+    SHORT_ROWS,
 )
 
 # --- market basket ---------------------------------------------------------
@@ -192,15 +196,17 @@ def grams(name: str, source: str, k: int, text: str = "text") -> str:
        unnest(range(1, len(c) - {k} + 2)) AS t(i))"""
 
 
-def signature_cte(source: str, n_hashes: int = N_HASHES, k: int = SHINGLE) -> str:
-    """CTE ``sigs``: MinHash signatures of ``source``."""
+def signature_cte(
+    source: str, n_hashes: int = N_HASHES, k: int = SHINGLE, name: str = "sigs"
+) -> str:
+    """CTE of the MinHash signatures of ``source``."""
     weights = place_values(k)
     base = " + ".join(f"c[i + {j}] * {weight}" for j, weight in enumerate(weights))
     minima = ", ".join(
         f"min(({a} * x + {b}) % {PRIME})" for a, b in hash_family(n_hashes)
     )
     return f"""
-sigs AS (SELECT doc_id, [{minima}] AS sig
+{name} AS (SELECT doc_id, [{minima}] AS sig
   FROM (SELECT doc_id, ({base}) % {PRIME} AS x
         FROM (SELECT doc_id,
                      list_transform(string_split(text, ''), lambda z: ord(z)::BIGINT) AS c
@@ -244,9 +250,9 @@ pairs AS (SELECT a.doc_id AS x, b.doc_id AS y, {jaccard('a.cs', 'b.cs')} AS sim
           FROM chars a JOIN chars b ON a.doc_id < b.doc_id)"""
 
 
-def shingle_pairs(source: str) -> str:
+def shingle_pairs(source: str, k: int = SHINGLE) -> str:
     """CTEs ending in ``spairs``: all pairs that share a shingle, with similarity."""
-    return f"""{grams('grams', source, SHINGLE)},
+    return f"""{grams('grams', source, k)},
 sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
 spairs AS (SELECT x, y, m::DOUBLE / (sx.n + sy.n - m) AS sim
   FROM (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS m
@@ -274,6 +280,7 @@ FROM (SELECT count(*)::DOUBLE AS n_candidates,
 
 
 EVALUATION = f"WITH {CHARS},{CHAR_PAIRS},{stage('documents')}"
+SHORT_EVALUATION = f"WITH {CHARS},{CHAR_PAIRS},{stage('documents', b=SHORT_BANDS, r=SHORT_ROWS)}"
 
 
 def sweep_sql() -> str:
@@ -341,13 +348,17 @@ points AS (
   FROM drawn d JOIN sigs a ON a.doc_id = d.x JOIN sigs b ON b.doc_id = d.y
   LEFT JOIN cand c ON c.x = d.x AND c.y = d.y)"""
 
-SAMPLED = f"""WITH sampled AS (
+
+
+def sampled_sql(source: str, n_hashes: int = N_HASHES, k: int = SHINGLE, b: int = BANDS) -> str:
+    """Error rates averaged over ten samples of ``source``, a table of ids and texts."""
+    return f"""sampled AS (
   SELECT seed, doc_id FROM (
     SELECT seed, doc_id, row_number() OVER (PARTITION BY seed
       ORDER BY {stable_hash("seed || ':' || doc_id")}, doc_id) AS rank
     FROM documents, unnest(range(0, 10)) AS t(seed)) WHERE rank <= 100),
-picked AS (SELECT doc_id, text FROM documents WHERE doc_id IN (SELECT doc_id FROM sampled)),
-{stage('picked')},{shingle_pairs('picked')},
+picked AS (SELECT doc_id, text FROM {source} WHERE doc_id IN (SELECT doc_id FROM sampled)),
+{stage('picked', n_hashes, k, b)},{shingle_pairs('picked', k)},
 pairs AS (SELECT a.seed, a.doc_id AS x, b.doc_id AS y
           FROM sampled a JOIN sampled b ON a.seed = b.seed AND a.doc_id < b.doc_id),
 judged AS (SELECT p.seed, coalesce(s.sim, 0) AS sim, c.x IS NOT NULL AS is_candidate
@@ -360,7 +371,8 @@ SELECT count(*) AS n_samples, sum(fp)::BIGINT AS n_fp, sum(fn)::BIGINT AS n_fn,
        round(avg(fp * 100.0::DOUBLE / n), 6) AS pct_fp,
        round(avg(fn * 100.0::DOUBLE / n), 6) AS pct_fn FROM rates"""
 
-TUNE = f"""WITH {UNIQUE},{stage('uniq')},{shingle_pairs('uniq')},
+
+TUNE = f"""WITH {stage('documents')},{shingle_pairs('documents')},
 scored AS (SELECT c.x, c.y, coalesce(s.sim, 0) AS sim
            FROM cand c LEFT JOIN spairs s ON s.x = c.x AND s.y = c.y),
 levels AS (SELECT round(avg(sim) FILTER (sim >= 0.85::DOUBLE), 4) AS s1,
@@ -404,6 +416,12 @@ SELECT g AS shingle, count(*) AS n_docs FROM grams GROUP BY g""",
     "copy_groups": f"WITH {UNIQUE} SELECT doc_id AS rep_id, n_copies FROM uniq",
     "minhash_signatures": f"""WITH {signature_cte('documents')}
 SELECT doc_id, array_to_string(sig, ',') AS signature FROM sigs""",
+    "literal_signatures": f"""WITH
+cut AS (SELECT doc_id, text[:-2] AS text FROM documents WHERE text IS NOT NULL),
+one AS (SELECT 0 AS doc_id, 'special' AS text),
+{signature_cte('cut')},{signature_cte('one', k=len('special'), name='sentinel')}
+SELECT cut.doc_id, array_to_string(coalesce(sigs.sig, sentinel.sig), ',') AS signature
+FROM cut CROSS JOIN sentinel LEFT JOIN sigs ON sigs.doc_id = cut.doc_id""",
     "clean_signatures": f"""WITH {CLEANED},{signature_cte('cleaned', CLEAN_HASHES, CLEAN_SHINGLE)}
 SELECT doc_id, array_to_string(sig, ',') AS signature FROM sigs""",
     "clean_candidates": f"""WITH {CLEANED},
@@ -415,6 +433,10 @@ FROM cand JOIN clean_uniq a ON a.doc_id = x JOIN clean_uniq b ON b.doc_id = y"""
     "lsh_buckets": f"""WITH {UNIQUE},{signature_cte('uniq')},
 bands AS ({band_select(BANDS, ROWS)})
 SELECT band, key, count(*) AS n_docs, min(doc_id) AS first_doc
+FROM bands GROUP BY band, key HAVING count(*) > 1""",
+    "lsh_buckets_literal": f"""WITH {UNIQUE},{signature_cte('uniq')},
+bands AS ({band_select(BANDS - 1, ROWS)})
+SELECT band, key, count(*) AS n_docs, min(doc_id) AS first_doc
 FROM bands GROUP BY band, key HAVING count(*) > 1""",
     "lsh_candidates": f"""WITH {UNIQUE},{stage('uniq')}
 SELECT x, y, n_bands, (a.n_copies * b.n_copies)::DOUBLE AS n_pairs
@@ -446,10 +468,23 @@ SELECT x, y, round(sim, 6) AS sim FROM (
 WHERE sim >= 0.85::DOUBLE""",
     "similar_documents_char": similar_sql("char"),
     "similar_documents_shingle": similar_sql("shingle"),
+    "similar_clean_documents": f"""WITH {CLEANED},
+{stage('cleaned', CLEAN_HASHES, CLEAN_SHINGLE, CLEAN_BANDS)},
+{grams('grams', 'cleaned', CLEAN_SHINGLE)},
+lists AS (SELECT doc_id, list(g) AS gs FROM grams GROUP BY doc_id),
+asked AS (SELECT doc_id FROM documents ORDER BY doc_id LIMIT 100),
+both_ways AS (SELECT x AS doc_id, y AS other_id FROM cand UNION ALL SELECT y, x FROM cand)
+SELECT doc_id, other_id, round(sim, 6) AS sim FROM (
+  SELECT p.doc_id, p.other_id, {jaccard('a.gs', 'b.gs')} AS sim
+  FROM both_ways p JOIN asked USING (doc_id)
+  JOIN lists a ON a.doc_id = p.doc_id JOIN lists b ON b.doc_id = p.other_id)
+WHERE sim >= 0.85""",
     "lsh_quality": f"""{EVALUATION} SELECT n_candidates, n_over_85, n_under_60, pct_over_85,
 pct_under_60, cond_1, cond_2 FROM ({evaluated('cand')})""",
     "lsh_fp_fn": f"""{EVALUATION} SELECT n_candidates, n_over_85, n_under_60, n_pairs, n_fp, n_fn,
 pct_fp, pct_fn FROM ({evaluated('cand')})""",
+    "lsh_fp_fn_short_rows": f"""{SHORT_EVALUATION} SELECT n_candidates, n_over_85, n_under_60,
+n_pairs, n_fp, n_fn, pct_fp, pct_fn FROM ({evaluated('cand')})""",
     "lsh_sweep": sweep_sql(),
     "lsh_set_difference": f"""{EVALUATION}
 SELECT *, round(n_fp / nullif(n_candidates, 0), 6) AS fp_rate,
@@ -459,11 +494,16 @@ FROM (SELECT (SELECT count(*) FROM cand)::DOUBLE AS n_candidates,
              (SELECT count(*) FROM cand ANTI JOIN pairs USING (x, y))::DOUBLE AS n_fp,
              (SELECT count(*) FROM pairs ANTI JOIN cand USING (x, y))::DOUBLE AS n_fn)""",
     "lsh_missed_pairs": f"""WITH {UNIQUE},{stage('uniq')},{shingle_pairs('uniq')}
+SELECT x, y FROM spairs ANTI JOIN cand USING (x, y) WHERE sim >= 0.85::DOUBLE""",
+    "lsh_missed_pairs_long_rows": f"""WITH {UNIQUE},
+{stage('uniq', b=LONG_BANDS, r=LONG_ROWS)},{shingle_pairs('uniq')}
 SELECT x, y FROM spairs ANTI JOIN cand USING (x, y) WHERE sim >= 0.85::DOUBLE""",
     "lsh_false_candidates": f"""WITH {UNIQUE},{stage('uniq')},{shingle_pairs('uniq')},
 alike AS (SELECT x, y FROM spairs WHERE sim >= 0.85::DOUBLE)
 SELECT x, y FROM cand ANTI JOIN alike USING (x, y)""",
-    "lsh_sampled_fp_fn": SAMPLED,
+    "lsh_sampled_fp_fn": f"WITH {sampled_sql('documents')}",
+    "clean_sampled_fp_fn": f"WITH {CLEANED}, "
+    + sampled_sql("cleaned", CLEAN_HASHES, CLEAN_SHINGLE, CLEAN_BANDS),
     "pair_scatter": f"""{POINTS}
 SELECT x, y, is_candidate, round(jaccard, 6) AS jaccard, round(cosine, 6) AS cosine,
        round((cosine - (SELECT min(cosine) FROM points))
