@@ -60,16 +60,65 @@ RULES = {
 GAP = 3
 
 
-def normal_sentences(text: Column) -> Column:
-    """Sentences in normal form, without empty ones.
+def normal_lines(text: Column) -> Column:
+    """Sentences as arrays of lines in normal form, without empty ones.
 
-    A sentence ends at a line break, or at ``.``, ``!`` or ``?`` before white space.
+    A sentence ends at ``.``, ``!`` or ``?`` before white space and at a line without letters
+    or digits (blank, or a bare comment mark). Its other line breaks cut it into lines;
+    marks before and after them are no letters and drop out.
     """
-    ended = F.regexp_replace(F.lower(text), r"([.!?])\s+", "$1\n")
-    plain = F.regexp_replace(ended, r"[^\p{L}\p{N}\n]+", " ")
-    tight = F.regexp_replace(plain, r" ?\n[ \n]*", "\n")
-    cut = F.split(F.regexp_replace(tight, r"^[ \n]+|[ \n]+$", ""), "\n")
-    return F.array_remove(cut, "")
+    ended = F.regexp_replace(F.lower(text), r"([.!?])\s+", "$1\n\n")
+    closed = F.regexp_replace(ended, r"([.!?][^\p{L}\p{N}\s]+)[^\S\n]*\n", "$1\n\n")
+    plain = F.regexp_replace(closed, r"[^\p{L}\p{N}\n]+", " ")
+    tight = F.regexp_replace(F.regexp_replace(plain, r" ?\n ?", "\n"), r"\n{2,}", "\n\n")
+    cut = F.split(F.regexp_replace(tight, r"^[ \n]+|[ \n]+$", ""), "\n\n")
+    return F.transform(F.array_remove(cut, ""), lambda sentence: F.split(sentence, "\n"))
+
+
+def wrapped_places(lines: Column, sentences: dict[str, str]) -> Column:
+    """``(sent, text, wrapped)`` of every line in order; ``wrapped`` are the ``(known, n_lines)`` from there.
+
+    A known sentence is wrapped if it is the text of several whole lines of one sentence.
+    Lines are put together only where one begins like a known sentence, and no further
+    than the longest of these goes.
+    """
+    table = F.array(
+        *(F.struct(F.lit(k).alias("known"), F.lit(v).alias("sentence")) for k, v in sentences.items())
+    )
+    split = [v.split(" ") for v in sentences.values()]
+    begins = sorted({" ".join(v[:n]) for v in split for n in (1, 2)})
+    most_words = max(map(len, split), default=1)
+    most_chars = max(map(len, sentences.values()), default=1)
+    none = F.array().cast("array<struct<known:string,n_lines:int>>")
+
+    def at(own: Column, k: Column) -> Column:
+        near = F.transform(F.slice(own, k + 1, most_words), lambda x: F.substring(x, 1, most_chars + 1))
+        rest = F.array_join(near, "\n")
+
+        def whole(one: Column) -> Column:
+            size = F.length(one["sentence"])
+            return F.translate(rest, "\n", " ").startswith(one["sentence"]) & rest.substr(
+                size + 1, F.lit(1)
+            ).isin("\n", "")
+
+        return F.transform(
+            F.filter(table, whole),
+            lambda one: F.struct(
+                one["known"].alias("known"),
+                F.size(F.split(rest.substr(F.lit(1), F.length(one["sentence"])), "\n")).alias("n_lines"),
+            ),
+        )
+
+    def line(own: Column, sent: Column):
+        return lambda x, k: F.struct(
+            sent.alias("sent"),
+            x.alias("text"),
+            F.when((F.size(own) > k + 1) & F.substring_index(x, " ", 2).isin(begins), at(own, k))
+            .otherwise(none)
+            .alias("wrapped"),
+        )
+
+    return F.flatten(F.transform(lines, lambda own, sent: F.transform(own, line(own, sent))))
 
 
 def scan(
@@ -80,10 +129,12 @@ def scan(
 ) -> DataFrame:
     """``(doc_id, n_sentences, n_known, n_matches, licenses)`` for every document.
 
-    ``n_known`` counts known sentences, ``n_matches`` the places where a whole rule
-    matches, and ``licenses`` is the sorted array of licences found. The rules' next
-    sentence is looked up at each of the next ``gap + 1`` places, so a document that
-    repeats one sentence a million times costs a million look-ups a rule and no more.
+    ``n_sentences`` counts lines and sentences. ``n_known`` counts known sentences, on one
+    line or wrapped over several, ``n_matches`` the places where a whole rule matches, and
+    ``licenses`` is the sorted array of licences found. The rules' next sentence is looked
+    up at each of the next ``gap + 1`` lines and in each of the next ``gap + 1`` sentences,
+    once a rule and place, so a document that repeats one sentence a million times costs
+    so many million look-ups a rule and no more.
     Sentences and rules are a fixed table, which bounds what is broadcast.
 
     Null and empty texts have no sentences. Null ids stay null, repeated rows give
@@ -101,52 +152,76 @@ def scan(
         ],
         "rule string, licence string, step int, wanted string, n_steps int",
     )
-    cut = docs.select(
-        "doc_id", F.xxhash64("text").alias("doc_key"), normal_sentences(F.col("text")).alias("all")
-    ).select(
-        "doc_id",
-        "doc_key",
-        F.coalesce(F.size("all"), F.lit(0)).alias("n_sentences"),
-        F.posexplode_outer("all").alias("pos", "sentence"),
+    lines = normal_lines(F.col("text"))
+    cut = (
+        docs.select(
+            "doc_id",
+            F.xxhash64("text").alias("doc_key"),
+            wrapped_places(lines, sentences).alias("all"),
+        )
+        .select(
+            "doc_id",
+            "doc_key",
+            F.coalesce(F.size("all"), F.lit(0)).alias("n_sentences"),
+            F.posexplode_outer("all").alias("pos", "line"),
+        )
+        .select(
+            "doc_id",
+            "doc_key",
+            "n_sentences",
+            "pos",
+            "line.sent",
+            "line.wrapped",
+            F.col("line.text").alias("sentence"),
+        )
     )
     leads = F.coalesce(F.col("pos"), F.lit(0)) == 0
     seen = staged(
         cut.join(F.broadcast(known), "sentence", "left")
-        .where(F.col("known").isNotNull() | leads)
-        .select("doc_id", "doc_key", "n_sentences", "pos", "known", leads.alias("leads")),
+        .where(F.col("known").isNotNull() | (F.size("wrapped") > 0) | leads)
+        .select(
+            "doc_id", "doc_key", "n_sentences", "pos", "sent", "known", "wrapped", leads.alias("leads")
+        ),
         "licence-sentences",
     )
     key = ["doc_id", "doc_key"]
-    places = seen.where("known is not null").select(*key, "pos", "known").distinct()
-    first = F.broadcast(steps.where("step = 0"))
-    open_rules = places.join(first, F.col("known") == F.col("wanted")).select(
-        *key, "pos", "rule", "licence", "n_steps"
+    here = F.struct("known", F.lit(1).alias("n_lines"))
+    whole = F.concat(F.array(here), F.coalesce("wrapped", F.array()))
+    places = (
+        seen.select(*key, "pos", "sent", F.explode(whole).alias("one"))
+        .where("one.known is not null")
+        .select(*key, "pos", (F.col("pos") + F.col("one.n_lines") - 1).alias("last"), "sent", "one.known")
+        .distinct()
     )
+    state = [*key, "pos", "last", "sent", "rule", "licence", "n_steps"]
+    first = F.broadcast(steps.where("step = 0"))
+    open_rules = places.join(first, F.col("known") == F.col("wanted")).select(*state)
     complete = open_rules.where("n_steps = 1")
     for step in range(1, max((len(names) for _, names in rules.values()), default=1)):
         following = F.broadcast(
             steps.where(F.col("step") == step).select(F.col("rule").alias("_rule"), "wanted")
         )
-        looking = open_rules.join(following, F.col("rule") == F.col("_rule")).select(
-            F.col("doc_id").alias("_doc_id"),
-            F.col("doc_key").alias("_doc_key"),
-            "rule",
-            "licence",
-            "n_steps",
-            "wanted",
-            F.explode(F.sequence(F.col("pos") + 1, F.col("pos") + 1 + gap)).alias("_at"),
-        )
-        open_rules = (
-            looking.join(
+        waiting = open_rules.join(following, F.col("rule") == F.col("_rule"))
+
+        def reached(end: str, start: str) -> DataFrame:
+            looking = waiting.select(
+                F.col("doc_id").alias("_doc_id"),
+                F.col("doc_key").alias("_doc_key"),
+                "rule",
+                "licence",
+                "n_steps",
+                "wanted",
+                F.explode(F.sequence(F.col(end) + 1, F.col(end) + 1 + gap)).alias("_at"),
+            ).distinct()
+            return looking.join(
                 places,
                 F.col("_doc_id").eqNullSafe(F.col("doc_id"))
                 & (F.col("_doc_key") == F.col("doc_key"))
-                & (F.col("_at") == F.col("pos"))
+                & (F.col("_at") == F.col(start))
                 & (F.col("wanted") == F.col("known")),
-            )
-            .select(*key, "pos", "rule", "licence", "n_steps")
-            .distinct()
-        )
+            ).select(*state)
+
+        open_rules = reached("last", "pos").unionByName(reached("sent", "sent")).distinct()
         complete = complete.unionByName(open_rules.where(F.col("n_steps") == step + 1))
     found = (
         complete.groupBy(*key)

@@ -331,6 +331,69 @@ def test_license_rules_need_their_sentences_in_order(spark):
     assert license_scan.scan(documents(spark, [])).count() == 0
 
 
+MIT_TEXT = """MIT License
+
+Copyright (c) 2020 A. Person
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+"""
+
+BSD_TEXT = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+"""
+
+GPL_TEXT = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details.
+"""
+
+
+def commented(text, mark, before="", after=""):
+    return before + "".join(f"{mark} {line}".rstrip() + "\n" for line in text.split("\n")) + after
+
+
+def test_license_notices_match_when_wrapped(spark):
+    notice = MIT_TEXT.split("\n\n")[-1]
+    rows = [
+        (1, MIT_TEXT, "en", "a"),
+        (2, BSD_TEXT, "en", "a"),
+        (3, GPL_TEXT, "en", "a"),
+        (4, commented(MIT_TEXT, "#"), "en", "a"),
+        (5, commented(BSD_TEXT, " *", "/*\n", " */\nint x;\n"), "en", "a"),
+        (6, commented(GPL_TEXT, "//").replace("\n", "\r\n"), "en", "a"),
+        (7, "The MIT License\n" + notice, "en", "a"),
+        (8, MIT_TEXT.replace("all\ncopies", "all\n\ncopies"), "en", "a"),
+        (9, MIT_TEXT.replace("portions", "parts"), "en", "a"),
+        (10, MIT_TEXT.replace("of the Software.", "of the Software\nand more."), "en", "a"),
+        (11, MIT_TEXT.replace("of the Software.", "of the Software and more."), "en", "a"),
+    ]
+    found = license_scan.scan(documents(spark, rows)).collect()
+    got = {r.doc_id: ",".join(r.licenses) for r in found}
+    expected = ["MIT", "BSD-2-Clause", "GPL-3.0", "MIT", "BSD-2-Clause", "GPL-3.0", "MIT", "", "", "MIT", ""]
+    assert got == dict(enumerate(expected, 1))
+
+
 def test_archives_hold_repeats_once(spark):
     same, other = "x" * 150 + "\r\n\r\nWARC/1.1\r\n", "é" * 60
     rows = [
