@@ -394,6 +394,53 @@ def test_license_notices_match_when_wrapped(spark):
     assert got == dict(enumerate(expected, 1))
 
 
+def test_license_table_covers_the_common_licenses(spark):
+    source, binary = (license_scan.SENTENCES[k] for k in ("bsd-source", "bsd-binary"))
+    endorse = "derived from this software without specific prior written permission."
+    three = (
+        "3. Neither the name of the {} nor the names of its\n   contributors may be used to endorse or "
+        f"promote products {endorse}"
+    )
+    advert = (
+        "3. All advertising materials mentioning features or use of this software must display the "
+        "following acknowledgement:\n   This product includes software developed by the Example Project.\n"
+    )
+    bsd2 = f"1. {source}.\n2. {binary}.\n"
+    gpl2 = GPL_TEXT.replace("version 3", "version 2")
+    lgpl21 = GPL_TEXT.replace("This program is free", "This library is free")
+    lgpl21 = lgpl21.replace("GNU General", "GNU Lesser General").replace("version 3", "version 2.1")
+    mpl = "This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy of the MPL"
+    isc = (
+        "Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee "
+        "is hereby granted"
+    )
+    cases = [
+        (bsd2 + three.format("copyright holder"), "BSD-3-Clause"),
+        (bsd2 + three.format("Example\n   Foundation").replace("3. ", " * "), "BSD-3-Clause"),
+        (bsd2 + three.format("Example Inc.") + "\n", "BSD-3-Clause"),
+        (bsd2 + "THIS SOFTWARE IS PROVIDED", "BSD-2-Clause"),
+        (bsd2 + "\nx.\n" * 9 + three.format("copyright holder"), "BSD-2-Clause"),
+        (bsd2 + advert + three.format("University").replace("3. ", "4. "), "BSD-4-Clause"),
+        (bsd2 + three.format("author") + "\n\n" + "Other text.\n" * 9 + bsd2, "BSD-2-Clause,BSD-3-Clause"),
+        (gpl2, "GPL-2.0"),
+        (lgpl21, "LGPL-2.1"),
+        (GPL_TEXT.replace("General Public License as", "Affero General Public License as"), "AGPL-3.0"),
+        (mpl, "MPL-2.0"),
+        (isc + ", provided that the above\ncopyright notice and this permission notice appear in all copies.", "ISC"),
+        (isc + ".", "0BSD"),
+        ("This is free and unencumbered software released into the public domain.", "Unlicense"),
+        ("Licensed under CC BY-SA 4.0.", "CC-BY-SA-4.0"),
+        ("// SPDX-License-Identifier: GPL-2.0-or-later\nint x;", "GPL-2.0"),
+        ("/* SPDX-License-Identifier: BSD-3-Clause */", "BSD-3-Clause"),
+        ("# SPDX-License-Identifier: MIT OR Apache-2.0", "Apache-2.0,MIT"),
+        ("# SPDX-License-Identifier: Unknown-1.0", ""),
+    ]
+    rows = [(k, text, "en", "a") for k, (text, _) in enumerate(cases)]
+    found = license_scan.scan(documents(spark, rows)).collect()
+    got = {r.doc_id: ",".join(r.licenses) for r in found}
+    assert got == {k: names for k, (_, names) in enumerate(cases)}
+
+
 def test_archives_hold_repeats_once(spark):
     same, other = "x" * 150 + "\r\n\r\nWARC/1.1\r\n", "é" * 60
     rows = [
