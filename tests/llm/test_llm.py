@@ -301,6 +301,46 @@ def test_differences_are_found_whatever_their_number():
         assert sorted(key.tolist()) == sorted(left[:n].tolist()) and set(side.tolist()) <= {1}
 
 
+def test_copies_and_heavy_signatures_are_split(spark):
+    near = words(80, 11)
+    none = np.empty(0, np.uint64)
+
+    def signatures(packed):
+        return [(r.bucket, len(r.signatures) // 5) for r in packed.collect()]
+
+    one = documents(spark, [(0, near, "en", "a")]).coalesce(1)
+    copies = documents(spark, [(k, near, "en", "a") for k in range(500)]).coalesce(1)
+    n_one = sum(n for _, n in signatures(jaccard_join.signature_rows(one, none, 4)))
+    assert sum(n for _, n in signatures(jaccard_join.signature_rows(copies, none, 4))) == n_one
+
+    rows = [(k, f"{near} {words(1, 1000 + k)}", "en", "a") for k in range(300)]
+    rows += [(1000 + k, words(80, 5000 + k), "en", "a") for k in range(100)]
+    rows += [(2000 + k, f"{words(40, 12)} {words(45, 7000 + k)}", "en", "a") for k in range(50)]
+    docs = documents(spark, rows)
+    heavy = jaccard_join.heavy_signatures(docs, none, len(rows), heavy_sets=40)
+    assert len(heavy) > 0
+    whole = signatures(jaccard_join.signature_rows(docs, none, 1))
+    split = signatures(jaccard_join.signature_rows(docs, none, 1, heavy=heavy, n_blocks=12))
+    total, largest = {}, {}
+    for into, found in ((total, whole), (largest, split)):
+        for bucket, n in found:
+            into[bucket] = into.get(bucket, 0) + n
+    assert sum(largest.values()) == sum(total.values())
+    assert sum(n for bucket, n in largest.items() if bucket) > 200 * 20
+    assert max(n for bucket, n in largest.items() if bucket) < sum(total.values()) / 6
+
+    got = [
+        {r.doc_id: (r.n_shingles, r.component_id) for r in found.collect()}
+        for found in (
+            jaccard_join.near_duplicates(docs),
+            jaccard_join.near_duplicates(docs, heavy_sets=40),
+        )
+    ]
+    assert got[0] == got[1]
+    assert {got[1][k][1] for k in range(300)} == {0}
+    assert all(got[1][1000 + k][1] == 1000 + k for k in range(100))
+
+
 def test_license_rules_need_their_sentences_in_order(spark):
     mit = ["The MIT License", "x", license_scan.SENTENCES["mit-notice"]]
     rows = [
