@@ -52,10 +52,16 @@ def drawn_examples(docs: DataFrame, known: DataFrame, per_class: int, seed: str)
     """``(doc_id, text, label)`` of a sample of two classes of about ``per_class`` each.
 
     The labels are drawn before any text is looked at; their number is bounded by
-    ``per_class``, so they are sent to the texts and no text is shuffled.
+    ``per_class``, so they are sent to the texts and only texts drawn are shuffled. An id that
+    many rows carry gives one row a label, the shortest of its texts that are not
+    empty, the least of equally long ones.
     """
     drawn = sample_of_classes(known, "label", per_class, 2, seed)
-    return docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id")
+    found = docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id")
+    size = F.octet_length("text")
+    shortest = F.min(F.struct((size == 0).alias("empty"), size.alias("size"), "text"))
+    one = found.where("text is not null").groupBy("doc_id", "label").agg(shortest.alias("least"))
+    return one.select("doc_id", F.col("least.text").alias("text"), "label")
 
 
 def kept_by_score(docs: DataFrame, score: Callable[[DataFrame], DataFrame], keep: Column) -> DataFrame:

@@ -24,6 +24,7 @@ from kindred.llm import (
     toxicity,
     warc,
 )
+from kindred.llm.labelled import drawn_examples
 
 DOCS = "doc_id long, text string, lang string, source string, score double, label string, n long, key string"
 
@@ -544,6 +545,16 @@ def test_toxicity_learns_words_and_not_groups(spark):
     assert toxicity.toxicity(docs.limit(0), labels).count() == 0
 
 
+def test_an_id_of_many_rows_is_drawn_once(spark):
+    rows = [(k % 3, text, "en", "a") for k in range(300) for text in ("same", "longer", "", None)]
+    rows += [(7, "other", "en", "a"), (8, None, "en", "a"), (None, "none", "en", "a")]
+    marks = [(k, k % 2) for k in (0, 1, 2, 7, 8, 9)] + [(1, 0)]
+    known = spark.createDataFrame(marks, "doc_id long, label int")
+    found = drawn_examples(documents(spark, rows), known, 100, "x").collect()
+    got = sorted((r.doc_id, r.text, r.label) for r in found)
+    assert got == [(0, "same", 0), (1, "same", 0), (1, "same", 1), (2, "same", 0), (7, "other", 1)]
+
+
 def test_quality_reads_the_whole_text(spark):
     docs, labels = labelled(
         spark, lambda i: words(40, i), lambda i: re.sub(" ", "%%% ", words(40, i)), "quality"
