@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import heapq
 import re
+import zlib
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -21,6 +23,7 @@ PREFIXES = (4, 5, 6, 7)
 PER_CLASS = 2500
 TRAIN_BYTES = 1 << 17
 SWAPS_PER_DOC = 4
+SWAP_SEED = "swaps"
 
 # Groups of terms for people that are neutral in themselves. Terms of one group replace
 # each other in counterfactual sentences.
@@ -82,21 +85,27 @@ class WordFeatures:
 def counterfactual_sentences(
     text: str, groups: Sequence[Sequence[str]] = IDENTITY_TERMS, most: int = SWAPS_PER_DOC
 ) -> Iterator[tuple[str, str]]:
-    """Sentences that name a group, each with the same sentence naming another one."""
+    """Sentences that name a group, each with the same sentence naming another one.
+
+    Of the places where the whole text names a group, ``most`` are drawn by a seeded hash.
+    """
     of = {term: group for group in groups for term in group}
-    given = 0
-    for sentence in re.split(r"(?<=[.!?])\s+|\n+", text):
-        for word in re.findall(r"\w+", sentence):
-            term = word.lower()
-            if term in of:
-                group = of[term]
-                other = group[(group.index(term) + 1 + given) % len(group)]
-                if other == term:
-                    other = group[(group.index(term) + 1) % len(group)]
-                yield sentence, re.sub(rf"\b{re.escape(word)}\b", other, sentence)
-                given += 1
-                if given >= most:
-                    return
+
+    def places() -> Iterator[tuple[int, int, int, str, str]]:
+        for i, sentence in enumerate(re.split(r"(?<=[.!?])\s+|\n+", text)):
+            seed = zlib.crc32(f"{SWAP_SEED} {i} {sentence}".encode())
+            for k, word in enumerate(re.findall(r"\w+", sentence)):
+                if word.lower() in of:
+                    yield zlib.crc32(str(k).encode(), seed), i, k, word, sentence
+
+    drawn = sorted(heapq.nsmallest(most, places()), key=lambda place: place[1:3])
+    for given, (_, _, _, word, sentence) in enumerate(drawn):
+        term = word.lower()
+        group = of[term]
+        other = group[(group.index(term) + 1 + given) % len(group)]
+        if other == term:
+            other = group[(group.index(term) + 1) % len(group)]
+        yield sentence, re.sub(rf"\b{re.escape(word)}\b", other, sentence)
 
 
 @dataclass

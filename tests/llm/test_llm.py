@@ -545,6 +545,18 @@ def test_toxicity_learns_words_and_not_groups(spark):
     assert toxicity.toxicity(docs.limit(0), labels).count() == 0
 
 
+def test_swaps_are_drawn_from_the_whole_text():
+    term = toxicity.IDENTITY_TERMS[0][0]
+    text = "\n".join(f"n{k} {term} x." for k in range(200))
+    found = [one for one, _ in toxicity.counterfactual_sentences(text)]
+    at = [int(one.split(" ")[0][1:]) for one in found]
+    assert len(set(at)) == toxicity.SWAPS_PER_DOC and at == sorted(at) and at[-1] >= 100
+    assert found == [one for one, _ in toxicity.counterfactual_sentences(text)]
+    few = list(toxicity.counterfactual_sentences(f"A {term} b. None. C {term}."))
+    assert [one for one, _ in few] == [f"A {term} b.", f"C {term}."]
+    assert all(one != other for one, other in few)
+
+
 def test_an_id_of_many_rows_is_drawn_once(spark):
     rows = [(k % 3, text, "en", "a") for k in range(300) for text in ("same", "longer", "", None)]
     rows += [(7, "other", "en", "a"), (8, None, "en", "a"), (None, "none", "en", "a")]
