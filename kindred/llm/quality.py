@@ -51,10 +51,13 @@ class ByteNetwork:
         )
 
 
-def blocks_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Documents filled up with zero bytes to whole blocks, at least two, and their block counts."""
+def blocks_of(data: np.ndarray, offsets: np.ndarray, ends: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """Documents filled up with zero bytes to whole blocks, at least two, and their block counts.
+
+    A block of zero bytes follows each, unless none of them ``ends`` here.
+    """
     sizes = np.diff(offsets)
-    counts = np.maximum(-(-sizes // BLOCK) + 1, 2)
+    counts = np.maximum(-(-sizes // BLOCK) + int(ends), 2)
     begins = np.concatenate([[0], np.cumsum(counts)[:-1]]) * BLOCK
     filled = np.zeros(int(counts.sum()) * BLOCK, np.uint8)
     filled[np.arange(len(data)) + np.repeat(begins - offsets[:-1], sizes)] = data
@@ -114,7 +117,7 @@ def probabilities(net: ByteNetwork, data: np.ndarray, offsets: np.ndarray) -> np
             spans[-1] = (spans[-1][0], len(part))
             cuts = [np.array([0, b - a]) for a, b in spans]
         for (a, b), cut in zip(spans, cuts):
-            best, owner = pooled_chunks(net, *blocks_of(part[a:b], cut))
+            best, owner = pooled_chunks(net, *blocks_of(part[a:b], cut, b == len(part)))
             firsts = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
             rows = low + owner[firsts]
             total[rows] += np.add.reduceat(best, firsts, axis=0)

@@ -579,6 +579,29 @@ def test_quality_reads_the_whole_text(spark):
     assert kept.columns == docs.columns and kept.count() < docs.count()
 
 
+def test_parts_of_long_documents_have_the_chunks_of_the_whole(monkeypatch):
+    net = quality.ByteNetwork.fresh()
+    part = quality.BLOCK * quality.STRIDE * 16
+    tail = quality.BLOCK * (quality.CHUNK - quality.STRIDE + 1)
+    monkeypatch.setattr(quality, "PART_BYTES", part)
+    monkeypatch.setattr(quality, "STEP_BYTES", 1000)
+    pooled, seen = quality.pooled_chunks, []
+    monkeypatch.setattr(quality, "pooled_chunks", lambda *a: seen.append(pooled(*a)) or seen[-1])
+    random_numbers = np.random.default_rng(4)
+    for size in (part + 1, part + tail, part + tail + 1, 2 * part, 3 * part + 4, 3 * part + tail + 777):
+        data = random_numbers.integers(1, 256, size, dtype=np.uint8)
+        offsets = np.array([0, size])
+        whole, owner = pooled(net, *quality.blocks_of(data, offsets))
+        total, largest = whole.sum(axis=0)[None], whole.max(axis=0)[None]
+        expected = quality.combine(net, total, largest, np.array([len(owner)]))
+        seen.clear()
+        got = quality.probabilities(net, data, offsets)
+        assert sum(len(best) for best, _ in seen) == len(whole)
+        assert len(seen) > 1 or size <= part + tail
+        np.testing.assert_allclose(np.concatenate([best for best, _ in seen]), whole, atol=1e-5)
+        np.testing.assert_allclose(got, expected, atol=1e-6)
+
+
 def test_long_documents_score_alike_in_parts(monkeypatch):
     net = quality.ByteNetwork.fresh()
     raw = np.frombuffer(words(20_000, 8).encode(), np.uint8)
