@@ -52,11 +52,16 @@ class ChunkedCounter:
         raw = text.encode("utf-8")
         if len(raw) <= self.chunk or not self.splits_at_spaces:
             return len(self.model.encode(text))
-        return self._spliced(raw) or len(self.model.encode(text))
+        spliced = self._spliced(raw)
+        return len(self.model.encode(text)) if spliced is None else spliced
 
     def _spliced(self, raw: bytes) -> int | None:
-        """Tokens of a long text, or None where its chunks cannot be lined up."""
-        total, low, joint, overlap = 0, 0, 0, self.overlap
+        """Tokens of a long text, or None where its chunks cannot be lined up.
+
+        Tokens are counted by where they end. The first may be the lone space mark set before
+        the text, which ends at 0, so counting starts behind -1.
+        """
+        total, low, joint, overlap = 0, 0, -1, self.overlap
         high = self._character_start(raw, self.chunk)
         ends = self._ends(raw[low:high])
         while ends is not None and high < len(raw):
