@@ -133,9 +133,31 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM firsts
 """
 
+OP11 = """
+WITH rules(rule_host, rule_path, action) AS (
+    VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'),
+           ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')
+), parsed AS (
+    SELECT row_number() OVER () AS row, page_id,
+           translate(coalesce(regexp_extract(url, '://([^/?#]*)', 1), ''),
+                     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+           coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path
+    FROM pages
+), fitting AS (
+    SELECT row, arg_max(rule_host || rule_path, length(rule_host || rule_path)) AS rule,
+           arg_max(action, length(rule_host || rule_path)) AS action
+    FROM parsed JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host))
+                           AND starts_with(path, rule_path)
+    GROUP BY row
+)
+SELECT page_id, host, path, rule, coalesce(action, 'allow') AS verdict
+FROM parsed LEFT JOIN fitting USING (row)
+"""
+
 ORACLES = {
     "op2_mix_sources": OP2,
     "op5_decontamination": OP5,
     "op8_license_scan": _op8(),
     "op10_warc_revisits": OP10,
+    "op11_url_filter": OP11,
 }

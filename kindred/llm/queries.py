@@ -15,6 +15,7 @@ from kindred.llm import (
     quality,
     token_counts,
     toxicity,
+    url_filter,
     warc,
 )
 
@@ -78,6 +79,11 @@ def op10_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read(spark, sf_dir, "pages").select("page_id", "url")
+    return url_filter.judged(pages).drop("url")
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_mix_sources": op2_mix_sources,
@@ -89,4 +95,5 @@ QUERIES = {
     "op8_license_scan": op8_license_scan,
     "op9_language": op9_language,
     "op10_warc_revisits": op10_warc_revisits,
+    "op11_url_filter": op11_url_filter,
 }
