@@ -154,10 +154,42 @@ SELECT page_id, host, path, rule, coalesce(action, 'allow') AS verdict
 FROM parsed LEFT JOIN fitting USING (row)
 """
 
+OP13 = """
+WITH units AS (
+    SELECT doc_id, coalesce(text, '') AS text,
+           regexp_extract_all(coalesce(text, ''),
+               '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS u,
+           sha256('42:' || coalesce(doc_id::VARCHAR, '')) AS h
+    FROM documents
+), numbers AS (
+    SELECT doc_id, text, u, len(u) AS n, [('0x' || substr(h, 8 * i + 1, 8))::BIGINT FOR i IN range(4)] AS h
+    FROM units
+), cuts AS (
+    SELECT doc_id, text, n,
+           CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+                     OR h[3] % 100 >= 50 THEN 'plain'
+                WHEN h[4] % 100 < 80 THEN 'spm' ELSE 'psm' END AS form,
+           array_to_string(u[1 : least(h[1] % (n + 1), h[2] % (n + 1))], '') AS prefix,
+           array_to_string(u[1 + least(h[1] % (n + 1), h[2] % (n + 1))
+                             : greatest(h[1] % (n + 1), h[2] % (n + 1))], '') AS middle,
+           array_to_string(u[1 + greatest(h[1] % (n + 1), h[2] % (n + 1)) :], '') AS suffix
+    FROM numbers
+)
+SELECT doc_id, n::BIGINT AS n, form,
+       CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text
+                        WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM cuts
+"""
+
 ORACLES = {
     "op2_mix_sources": OP2,
     "op5_decontamination": OP5,
     "op8_license_scan": _op8(),
     "op10_warc_revisits": OP10,
     "op11_url_filter": OP11,
+    "op13_fill_middle": OP13,
 }

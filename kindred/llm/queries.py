@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from kindred.llm import (
     decontamination,
+    fill_middle,
     fingerprints,
     jaccard_join,
     language,
@@ -84,6 +85,12 @@ def op11_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judged(pages).drop("url")
 
 
+def op13_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turned = fill_middle.fill_in_middle(read(spark, sf_dir, "documents"))
+    back = fill_middle.restored(turned.withColumn("output_sha256", F.sha2("output", 256)))
+    return back.withColumn("restored_sha256", F.sha2("text", 256)).drop("text")
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_mix_sources": op2_mix_sources,
@@ -96,4 +103,5 @@ QUERIES = {
     "op9_language": op9_language,
     "op10_warc_revisits": op10_warc_revisits,
     "op11_url_filter": op11_url_filter,
+    "op13_fill_middle": op13_fill_middle,
 }
