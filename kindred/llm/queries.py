@@ -14,6 +14,7 @@ from kindred.llm import (
     license_scan,
     mixing,
     quality,
+    token_align,
     token_counts,
     toxicity,
     url_filter,
@@ -85,6 +86,10 @@ def op11_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judged(pages).drop("url")
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_align.alignment(read(spark, sf_dir, "documents"))
+
+
 def op13_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     turned = fill_middle.fill_in_middle(read(spark, sf_dir, "documents"))
     back = fill_middle.restored(turned.withColumn("output_sha256", F.sha2("output", 256)))
@@ -103,5 +108,6 @@ QUERIES = {
     "op9_language": op9_language,
     "op10_warc_revisits": op10_warc_revisits,
     "op11_url_filter": op11_url_filter,
+    "op12_token_alignment": op12_token_alignment,
     "op13_fill_middle": op13_fill_middle,
 }
