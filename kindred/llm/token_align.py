@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import hashlib
+import re
 from array import array
-from collections import Counter
 from collections.abc import Iterator, Sequence
 from itertools import count
 
@@ -20,11 +20,13 @@ from kindred.storage import staged
 
 MARK = "▁"
 # Bytes of text whose link pairs are looked up together, and bytes encoded at a time.
-BLOCK_BYTES, PIECE_BYTES = 1 << 23, 1 << 20
+BLOCK_BYTES, GROUP_BYTES = 1 << 23, 1 << 20
+# Tokens of windows kept for reuse, after which a task begins anew.
+KEPT_TOKENS = 2_000_000
 # Links of a group up to which they are listed one by one.
 SMALL_GROUP = 64
-# Tokens of windows kept for reuse, after which a task begins anew with the next document.
-KEPT_TOKENS = 2_000_000
+# Stands between the ids of a window; no id.
+STROKE = -1
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -38,8 +40,17 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
+# How words are cut out of a text before they are encoded, a fixed pattern of byte-level vocabularies.
+WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+LONG_BLANK = re.compile(r"\s{4096}")
+
+
 class ByteLevel:
-    """A ``tokenizers`` file of byte-level entries; strings of special tokens are plain text."""
+    """A ``tokenizers`` file of byte-level entries; strings of special tokens are plain text.
+
+    Where its merges amount to ranks, see ``_ranked``, texts are encoded by ``tiktoken``, which gives
+    the same ids several times as fast; but not texts with very long white space, which it cannot take.
+    """
 
     def __init__(self, path: str):
         import os
@@ -54,32 +65,63 @@ class ByteLevel:
         for entry, token in self.model.get_vocab().items():
             known = all(c in values for c in entry)
             self.spelled[token] = bytes(values[c] for c in entry) if known else entry.encode()
+        self.ranked = self._ranked()
 
-    def encode(self, texts: Sequence[str]) -> list[list[int]]:
-        """Ids of a space and each text. Long texts are encoded in pieces, see ``_pieces``."""
-        pieces, sizes = [], []
-        for text in texts:
-            cut = list(_pieces(" " + text))
-            pieces += cut
-            sizes.append(len(cut))
-        found = iter(self.model.encode_batch(pieces, add_special_tokens=False))
-        return [[t for _ in range(size) for t in next(found).ids] for size in sizes]
+    def _ranked(self):
+        """A ``tiktoken`` encoder of the same ids, or None.
 
+        Both merge neighbours until none can be. One takes the first pair of a list of merges, the other the
+        pair that spells the entry of the least id. They agree if merges are listed by the ids of what they make
+        and the bytes of each entry, merged by lesser ids only, end as the very pair that its merge lists: what
+        happens inside an entry's bytes before it is made does not depend on what stands around them.
+        """
+        import json
 
-def _pieces(text: str) -> Iterator[str]:
-    """The text cut before spaces that follow a printable ASCII character.
+        import tiktoken
 
-    Words of a byte-level vocabulary are cut out of the text first, from left to right, and none goes
-    on behind such a character with a space. So the pieces have the tokens of the whole text.
-    """
-    low = 0
-    while len(text) - low > PIECE_BYTES:
-        at = low + PIECE_BYTES
-        while at < len(text) and not (text[at] == " " and "!" <= text[at - 1] <= "~"):
-            at += 1
-        yield text[low:at]
-        low = at
-    yield text[low:]
+        spec = json.loads(self.model.to_str())
+        model, words = spec["model"], spec["pre_tokenizer"]
+        plain = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
+        options = ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "ignore_merges")
+        if spec["normalizer"] or model["type"] != "BPE" or any(model.get(o) for o in options):
+            return None
+        if not words or any(words.get(k) != v for k, v in plain.items()):
+            return None
+        added = {a["content"] for a in spec["added_tokens"]}
+        ranks = {self.spelled[i]: i for entry, i in model["vocab"].items() if entry not in added}
+        made = -1
+        for merge in model["merges"]:
+            first, second = merge if isinstance(merge, list) else merge.split(" ")
+            pair = [self.spelled[model["vocab"][e]] for e in (first, second)]
+            rank = ranks.get(b"".join(pair), -1)
+            if rank <= made or _merged(b"".join(pair), ranks, rank) != pair:
+                return None
+            made = rank
+        if len(ranks) != len(model["merges"]) + 256:
+            return None
+        return tiktoken.Encoding("ranked", pat_str=WORDS, mergeable_ranks=ranks, special_tokens={})
+
+    def encode(self, texts: Sequence[str]) -> list[np.ndarray]:
+        """Ids of a space and each text."""
+        whole = [" " + text for text in texts]
+        if self.ranked is None or any(LONG_BLANK.search(t) for t in whole if len(t) > 4096):
+            found = [e.ids for e in self.model.encode_batch(whole, add_special_tokens=False)]
+        else:
+            found = map(self.ranked.encode_ordinary, whole)
+        return [np.array(ids, np.int32) for ids in found]
+
+
+def _merged(raw: bytes, ranks: dict[bytes, int], limit: int) -> list[bytes]:
+    """Bytes merged pair by pair, least rank first, as long as a rank is below the limit."""
+    parts = [raw[i : i + 1] for i in range(len(raw))]
+    while len(parts) > 1:
+        pairs = [ranks.get(x + y, limit) for x, y in zip(parts, parts[1:])]
+        least = min(pairs)
+        if least >= limit:
+            break
+        at = pairs.index(least)
+        parts[at : at + 2] = [parts[at] + parts[at + 1]]
+    return parts
 
 
 class Pieces:
@@ -89,119 +131,194 @@ class Pieces:
         import sentencepiece
 
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
-        self.spelled = [self._bytes(i) for i in range(self.model.get_piece_size())]
+        pieces = [self.model.id_to_piece(i) for i in range(self.model.get_piece_size())]
+        self.spelled = [
+            bytes([int(piece[1:-1], 16)]) if self.model.is_byte(i) else piece.replace(MARK, " ").encode()
+            for i, piece in enumerate(pieces)
+        ]
 
-    def _bytes(self, token: int) -> bytes:
-        piece = self.model.id_to_piece(token)
-        if self.model.is_byte(token):
-            return bytes([int(piece[1:-1], 16)])
-        return piece.replace(MARK, " ").encode()
+    def encode(self, texts: Sequence[str]) -> list[np.ndarray]:
+        """Ids of each text."""
+        return [np.array(ids, np.int32) for ids in self.model.encode(list(texts), num_threads=1)]
 
-    def encode(self, texts: Sequence[str]) -> list[list[int]]:
-        return self.model.encode(list(texts), num_threads=1)
+
+def _spans(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Places of spans that begin at ``starts`` and have these sizes, one span after the other."""
+    ends = np.cumsum(sizes)
+    return np.repeat(starts - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)
 
 
 class Aligner:
     """Aligns token ids of texts, window by window.
 
-    A window is kept with its number under its token ids, so that an equal one is not aligned again.
-    Its groups, links and pairs are kept by number, pairs one window's after the other's.
+    A window is kept with its number under its ids, those of a, a stroke and those of b as bytes, so that an
+    equal one is not aligned again. Its groups, links and pairs are kept by number, pairs one window's after
+    the other's.
     """
 
     def __init__(self, a: ByteLevel, b: Pieces, kept_tokens: int = KEPT_TOKENS):
-        self.a, self.b = a, b
-        self.sizes = [np.array([len(s) for s in v.spelled], np.int64) for v in (a, b)]
-        self.lengths = [s.tolist() for s in self.sizes]
-        self.marked = [np.array([s[:1] == b" " for s in v.spelled]) for v in (a, b)]
+        self.spelled = [np.frombuffer(b"".join(side.spelled), np.uint8) for side in (a, b)]
+        self.sizes = [np.array([len(s) for s in side.spelled], np.int64) for side in (a, b)]
+        self.starts = [np.cumsum(sizes) - sizes for sizes in self.sizes]
+        self.marked = [np.array([s[:1] == b" " for s in side.spelled]) for side in (a, b)]
+        # Each id as text with a comma, and with what ends its part of a group.
+        self.names = [
+            np.array([f"{i}{end}" for end in ends for i in range(len(side.spelled))], object)
+            for side, ends in ((a, ",|"), (b, ",;"))
+        ]
         self.width = len(b.spelled)
         self.kept_tokens = kept_tokens
         self._forget()
 
     def _forget(self) -> None:
         self.n_kept = 0
-        self.known: dict[tuple, int] = {}
+        self.known: dict[bytes, int] = {}
+        # What both sides of a window spell; of one whose sides differ a byte that is in no text.
+        self.bytes: list[bytes] = []
         self.texts: list[str] = []
         self.n_groups, self.n_links = array("q"), array("q")
         self.pairs, self.times, self.ends = array("q"), array("q"), array("q", [0])
 
-    def aligned(self, raw: bytes, a: list[int], b: list[int]) -> tuple | None:
-        """``(groups text, n_groups, n_links, pairs, times)``, or None if tokens do not spell ``raw``.
+    def aligned(
+        self, raws: Sequence[bytes], of_a: Sequence[np.ndarray], of_b: Sequence[np.ndarray]
+    ) -> Iterator[tuple | None]:
+        """Of each text ``(n_a, n_b, groups text, n_groups, n_links, pairs, times)``.
 
-        ``pairs`` are the numbers of the id pairs linked, each once, ``times`` how many links each has.
+        None if its tokens do not spell it. ``pairs`` are the numbers of the id pairs linked, each once,
+        ``times`` how many links each has.
         """
-        if b"".join(map(self.a.spelled.__getitem__, a)) != raw:
-            return None
-        if b"".join(map(self.b.spelled.__getitem__, b)) != raw:
-            return None
         if self.n_kept > self.kept_tokens:
             self._forget()
-        windows = self._windows(a, b)
-        text = ";".join(map(self.texts.__getitem__, windows))
+        new: dict[bytes, int] = {}
+        texts = []
+        for raw, ids in zip(raws, zip(of_a, of_b)):
+            fits = raw and all(size[i].sum() == len(raw) for size, i in zip(self.sizes, ids))
+            texts.append((raw, len(ids[0]), len(ids[1]), self._windows(ids, new) if fits else None))
+        self._learn(new)
+        for raw, n_a, n_b, windows in texts:
+            spelt = windows and b"".join(map(self.bytes.__getitem__, windows)) == raw
+            yield (n_a, n_b, *self._together(windows)) if spelt else None
+
+    def _windows(self, ids: Sequence[np.ndarray], new: dict[bytes, int]) -> list[int]:
+        """Numbers of the windows between anchors: ends of both before tokens that begin with a space."""
+        starts = [np.cumsum(size[i]) - size[i] for size, i in zip(self.sizes, ids)]
+        begins = [start[mark[i]] for start, mark, i in zip(starts, self.marked, ids)]
+        anchors = np.intersect1d(*begins, assume_unique=True)
+        anchors = anchors[anchors > 0]
+        cuts = [np.append(np.searchsorted(start, anchors), len(i)) for start, i in zip(starts, ids)]
+        sizes = [np.diff(c, prepend=0) for c in cuts]
+        # All windows one after the other, the ids of a, a stroke and those of b in each.
+        highs = np.cumsum(sizes[0] + sizes[1] + 1)
+        lows = highs - sizes[0] - sizes[1] - 1
+        laid = np.full(highs[-1], STROKE, np.int32)
+        laid[_spans(lows, sizes[0])] = ids[0]
+        laid[_spans(lows + sizes[0] + 1, sizes[1])] = ids[1]
+        packed = laid.tobytes()
+        keys = [packed[low:high] for low, high in zip((4 * lows).tolist(), (4 * highs).tolist())]
+        found = list(map(self.known.get, keys))
+        n_left = sizes[0].tolist()
+        for k in [k for k, number in enumerate(found) if number is None]:
+            found[k] = self.known.setdefault(keys[k], len(self.known))
+            new[keys[k]] = 4 * n_left[k]
+        return found
+
+    def _learn(self, new: dict[bytes, int]) -> None:
+        """Align windows, given with the bytes of their a ids: a group ends wherever tokens of both do."""
+        if not new:
+            return
+        ids = [
+            np.frombuffer(b"".join(side), np.int32).astype(np.int64)
+            for side in ([w[:n] for w, n in new.items()], [w[n + 4 :] for w, n in new.items()])
+        ]
+        self.n_kept += len(ids[0]) + len(ids[1])
+        n_tokens = [
+            np.fromiter(sizes, np.int64, len(new)) // 4
+            for sizes in (new.values(), (len(w) - n - 4 for w, n in new.items()))
+        ]
+        ends = [np.cumsum(size[i]) for size, i in zip(self.sizes, ids)]
+        self._keep_bytes(ids, ends[0][np.cumsum(n_tokens[0]) - 1])
+        groups = np.intersect1d(*ends, assume_unique=True)
+        # Of each token its group, of each group the number of tokens so far, of each window of groups.
+        owner = [np.searchsorted(groups, e) for e in ends]
+        upto = [np.searchsorted(e, groups) + 1 for e in ends]
+        n_of = [np.diff(u, prepend=0) for u in upto]
+        last_group = np.searchsorted(groups, ends[0][np.cumsum(n_tokens[0]) - 1]) + 1
+        links = n_of[0] * n_of[1]
+        links_upto = np.append(0, np.cumsum(links))[np.append(0, last_group)]
+        self.n_groups.frombytes(np.diff(last_group, prepend=0).tobytes())
+        self.n_links.frombytes(np.diff(links_upto).tobytes())
+        self._keep_texts(ids, owner, upto, last_group)
+        self._keep_pairs(ids, owner, upto, n_of, links, last_group)
+
+    def _keep_bytes(self, ids: list[np.ndarray], ends: np.ndarray) -> None:
+        """What windows with these ends spell."""
+        a, b = [
+            spelled[_spans(start[i], size[i])]
+            for spelled, start, size, i in zip(self.spelled, self.starts, self.sizes, ids)
+        ]
+        wrong = set(np.searchsorted(ends, np.flatnonzero(a != b), "right").tolist())
+        raw, low = a.tobytes(), 0
+        for k, high in enumerate(ends.tolist()):
+            self.bytes.append(b"\xff" if k in wrong else raw[low:high])
+            low = high
+
+    def _keep_texts(self, ids, owner, upto, last_group) -> None:
+        """Text of each window: tokens in the order of groups, a before b."""
+        parts = np.empty(len(ids[0]) + len(ids[1]), object)
+        before = (np.append(0, upto[1])[owner[0]], upto[0][owner[1]])
+        for side in (0, 1):
+            last = np.zeros(len(ids[side]), np.int64)
+            last[upto[side] - 1] = len(self.sizes[side])
+            parts[np.arange(len(last)) + before[side]] = self.names[side][ids[side] + last]
+        low = 0
+        listed = parts.tolist()
+        for high in (upto[0] + upto[1])[last_group - 1].tolist():
+            self.texts.append("".join(listed[low:high]))
+            low = high
+
+    def _keep_pairs(self, ids, owner, upto, n_of, links, last_group) -> None:
+        """Pairs of each window with how often they are linked; a pair may come again within a window."""
+        short = links <= SMALL_GROUP
+        repeats = np.where(short, n_of[1], 0)[owner[0]]
+        left = np.repeat(ids[0], repeats)
+        first = np.repeat((upto[1] - n_of[1])[owner[0]], repeats)
+        turn = np.arange(len(left)) - np.repeat(np.cumsum(repeats) - repeats, repeats)
+        pairs = left * self.width + ids[1][first + turn]
+        times = np.ones(len(pairs), np.int64)
+        n_pairs = np.where(short, links, 0)
+        more = []
+        for group in np.flatnonzero(~short):
+            # Ids that a long group repeats are multiplied, not taken by occurrence.
+            (some, n_some), (others, n_others) = [
+                np.unique(i[u[group] - n[group] : u[group]], return_counts=True)
+                for i, u, n in zip(ids, upto, n_of)
+            ]
+            more.append((group, (some[:, None] * self.width + others).ravel(), np.outer(n_some, n_others).ravel()))
+            n_pairs[group] = len(some) * len(others)
+        if more:
+            place = np.cumsum(np.where(short, links, 0))
+            at = np.concatenate([np.full(len(p), place[g]) for g, p, _ in more])
+            pairs = np.insert(pairs, at, np.concatenate([p for _, p, _ in more]))
+            times = np.insert(times, at, np.concatenate([t for _, _, t in more]))
+        base = len(self.pairs)
+        self.pairs.frombytes(pairs.tobytes())
+        self.times.frombytes(times.tobytes())
+        self.ends.frombytes((base + np.cumsum(n_pairs)[last_group - 1]).tobytes())
+
+    def _together(self, windows: list[int]) -> tuple:
+        """What the windows of one text have together."""
+        text = "".join(map(self.texts.__getitem__, windows))[:-1]
         used, often = np.unique(np.array(windows), return_counts=True)
         n_groups = int(np.frombuffer(self.n_groups, np.int64)[used] @ often)
         n_links = int(np.frombuffer(self.n_links, np.int64)[used] @ often)
         ends = np.frombuffer(self.ends, np.int64)
-        low, sizes = ends[used], ends[used + 1] - ends[used]
-        places = np.repeat(low - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
+        sizes = ends[used + 1] - ends[used]
+        places = _spans(ends[used], sizes)
         times = np.frombuffer(self.times, np.int64)[places] * np.repeat(often, sizes)
         pairs, owner = np.unique(np.frombuffer(self.pairs, np.int64)[places], return_inverse=True)
         totals = np.bincount(owner, times, len(pairs)).astype(np.int64)
         return text, n_groups, n_links, pairs, totals
 
-    def _windows(self, a: list[int], b: list[int]) -> list[int]:
-        """Numbers of the windows between anchors: ends of both before tokens that begin with a space."""
-        ids = np.array(a), np.array(b)
-        starts = [np.cumsum(size[i]) - size[i] for size, i in zip(self.sizes, ids)]
-        begins = [start[mark[i]] for start, mark, i in zip(starts, self.marked, ids)]
-        anchors = np.intersect1d(*begins, assume_unique=True)
-        anchors = anchors[anchors > 0]
-        cuts = [np.searchsorted(start, anchors).tolist() + [len(i)] for start, i in zip(starts, ids)]
-        a, b, known, found = tuple(a), tuple(b), self.known, []
-        low_a = low_b = 0
-        for high_a, high_b in zip(*cuts):
-            window = a[low_a:high_a], b[low_b:high_b]
-            number = known.get(window)
-            found.append(self._learn(*window) if number is None else number)
-            low_a, low_b = high_a, high_b
-        return found
-
-    def _learn(self, a: tuple, b: tuple) -> int:
-        """Align a window: a group ends wherever tokens of both end at one byte."""
-        width, (size_a, size_b) = self.width, self.lengths
-        texts, links, pairs = [], 0, {}
-        low_a = low_b = high_a = high_b = end_a = end_b = 0
-        while low_a < len(a):
-            end_a, high_a = end_a + size_a[a[high_a]], high_a + 1
-            while end_b < end_a:
-                end_b, high_b = end_b + size_b[b[high_b]], high_b + 1
-            if end_a < end_b:
-                continue
-            left, right = a[low_a:high_a], b[low_b:high_b]
-            texts.append(",".join(map(str, left)) + "|" + ",".join(map(str, right)))
-            links += len(left) * len(right)
-            if len(left) * len(right) <= SMALL_GROUP:
-                for one in left:
-                    for other in right:
-                        pair = one * width + other
-                        pairs[pair] = pairs.get(pair, 0) + 1
-            else:
-                # Ids that a long group repeats are multiplied, not taken by occurrence.
-                others = Counter(right).items()
-                for one, n in Counter(left).items():
-                    for other, m in others:
-                        pair = one * width + other
-                        pairs[pair] = pairs.get(pair, 0) + n * m
-            low_a, low_b = high_a, high_b
-        number = self.known[a, b] = len(self.texts)
-        self.n_kept += len(a) + len(b)
-        self.texts.append(";".join(texts))
-        self.n_groups.append(len(texts))
-        self.n_links.append(links)
-        self.pairs.extend(pairs.keys())
-        self.times.extend(pairs.values())
-        self.ends.append(len(self.pairs))
-        return number
-
 
 class _Block:
     """Rows of documents that share one list of distinct pairs."""
@@ -215,7 +332,7 @@ class _Block:
         self.pairs: list[np.ndarray] = []
         self.times: list[np.ndarray] = []
 
-    def add(self, n_bytes: int, n_a: int, n_b: int, found: tuple | None) -> None:
+    def add(self, n_bytes: int, found: tuple | None) -> None:
         self.size += n_bytes
         if found is None:
             self.rows.append((0, 0, 0, 0))
@@ -223,7 +340,7 @@ class _Block:
             self.pairs.append(np.empty(0, np.int64))
             self.times.append(np.empty(0, np.int64))
             return
-        text, n_groups, n_links, pairs, times = found
+        n_a, n_b, text, n_groups, n_links, pairs, times = found
         self.rows.append((n_a, n_b, n_groups, n_links))
         self.digests.append(hashlib.sha256(text.encode()).hexdigest())
         self.pairs.append(pairs)
@@ -287,12 +404,11 @@ def aligned_blocks(
             column = batch.column("text")
             sizes = pc.binary_length(column).fill_null(0).to_pylist()
             low, block = 0, _Block()
-            for first, last in _groups(sizes, PIECE_BYTES):
+            for first, last in _groups(sizes, GROUP_BYTES):
                 texts = [t or "" for t in column.slice(first, last - first).to_pylist()]
-                for text, of_a, of_b in zip(texts, a.encode(texts), b.encode(texts)):
-                    raw = b" " + text.encode()
-                    found = aligner.aligned(raw, of_a, of_b) if text else None
-                    block.add(len(raw), len(of_a), len(of_b), found)
+                raws = [b" " + t.encode() if t else b"" for t in texts]
+                for raw, found in zip(raws, aligner.aligned(raws, a.encode(texts), b.encode(texts))):
+                    block.add(len(raw), found)
                 more = sizes[last] if last < len(sizes) else 0
                 if last == len(sizes) or block.size + more >= block_bytes:
                     yield block.batch(batch.column("doc_id").slice(low, last - low), next(numbers))

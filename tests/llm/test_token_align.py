@@ -117,37 +117,69 @@ def rows_of(spark, texts):
 
 
 @pytest.mark.parametrize("options", [{}, {"block_bytes": 500, "kept_tokens": 40}])
-def test_alignment_equals_all_occurrences(spark, models, options):
+def test_alignment_equals_all_occurrences(spark, models, options, monkeypatch):
+    if options:
+        monkeypatch.setattr(token_align, "SMALL_GROUP", 1)
+        monkeypatch.setattr(token_align, "GROUP_BYTES", 300)
     rows, docs = rows_of(spark, odd_texts())
     found = token_align.alignment(docs, **options)
     assert found.columns == COLUMNS
     assert sorted(map(tuple, found.collect()), key=repr) == plain(models, rows)
 
 
-def test_pieces_of_long_texts_have_the_tokens_of_the_whole(models, monkeypatch):
+@pytest.fixture(scope="module")
+def sides():
     import public_tokenizers
 
-    monkeypatch.setattr(token_align, "PIECE_BYTES", 20)
     a = token_align.ByteLevel(public_tokenizers.path("byte_bpe_50k.json"))
-    texts = [t for t in odd_texts() if t] + ["a  b   c\n\n d! e's    f " * 40]
-    assert sum(len(list(token_align._pieces(" " + t))) > 1 for t in texts) > 20
-    for text, ids in zip(texts, a.encode(texts)):
-        assert ids == models[0].encode(" " + text, add_special_tokens=False).ids
+    return a, token_align.Pieces(public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def test_ranks_and_merges_give_the_same_ids(models, sides):
+    a, b = sides
+    assert a.ranked is not None
+    texts = [t or "" for t in odd_texts()] + ["a  b   c\n\n d! e's    f " * 40, "\n" * 10_000 + "x", "x" * 50_000]
+    texts += [f"a{chr(c)}1{chr(c)} {chr(c)}\t{chr(c)}'{chr(c)}!" for c in [*range(1, 0x3000), *range(0x1F300, 0x1FA00, 7)]]
+    expected = [e.ids for e in models[0].encode_batch([" " + t for t in texts], add_special_tokens=False)]
+    for some in (texts[:1], texts):
+        assert [ids.tolist() for ids in a.encode(some)] == expected[: len(some)]
+    alone = [a.encode([t])[0].tolist() for t in texts[:300]]
+    assert alone == expected[:300]
+
 
+def test_other_merges_are_no_ranks(tmp_path):
+    import json
 
-def test_long_groups_count_repeated_ids(models):
     import public_tokenizers
 
-    a = token_align.ByteLevel(public_tokenizers.path("byte_bpe_50k.json"))
-    b = token_align.Pieces(public_tokenizers.path("piece_bpe_32k.model"))
-    aligner = token_align.Aligner(a, b)
-    # Ids spelled by hand: one group of 40 a tokens and 1 b token of the same bytes.
+    spec = json.load(open(public_tokenizers.path("byte_bpe_50k.json")))
+    merges = spec["model"]["merges"]
+    merges[100], merges[200] = merges[200], merges[100]
+    path = tmp_path / "other.json"
+    path.write_text(json.dumps(spec))
+    assert token_align.ByteLevel(str(path)).ranked is None
+
+
+def test_long_groups_count_repeated_ids(sides):
+    a, b = sides
+    # Ids spelled by hand: groups of 8 a tokens and 1 b token, and one of many a and 1 b token of the same bytes.
     one, wide = a.spelled.index(b"="), next(i for i, s in enumerate(b.spelled) if s == b"=" * 8)
     space = a.spelled.index(b" "), b.spelled.index(b" ")
     raw = b" " + b"=" * 80
-    text, groups, links, pairs, times = aligner.aligned(raw, [space[0]] + [one] * 80, [space[1]] + [wide] * 10)
-    assert (groups, links, sorted(times.tolist())) == (11, 81, [1, 80])
-    assert aligner.aligned(raw, [space[0]] + [one] * 79, [space[1]] + [wide] * 10) is None
+    import numpy as np
+
+    of_a = [np.array([space[0]] + [one] * n, np.int32) for n in (80, 79)]
+    of_b = [np.array([space[1]] + [wide] * 10, np.int32)] * 2
+    for small in (64, 4):
+        token_align.SMALL_GROUP, kept = small, token_align.SMALL_GROUP
+        try:
+            right, wrong = token_align.Aligner(a, b).aligned([raw, raw], of_a, of_b)
+        finally:
+            token_align.SMALL_GROUP = kept
+        n_a, n_b, text, groups, links, pairs, times = right
+        assert (n_a, n_b, groups, links, sorted(times.tolist())) == (81, 11, 11, 81, [1, 80])
+        assert text == f"{space[0]}|{space[1]};" + ";".join([",".join([str(one)] * 8) + f"|{wide}"] * 10)
+        assert wrong is None
 
 
 def test_empty_table_and_only_empty_texts(spark):
