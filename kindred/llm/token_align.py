@@ -181,7 +181,7 @@ class Aligner:
 
     def aligned(
         self, raws: Sequence[bytes], of_a: Sequence[np.ndarray], of_b: Sequence[np.ndarray]
-    ) -> Iterator[tuple | None]:
+    ) -> list[tuple | None]:
         """Of each text ``(n_a, n_b, groups text, n_groups, n_links, pairs, times)``.
 
         None if its tokens do not spell it. ``pairs`` are the numbers of the id pairs linked, each once,
@@ -189,23 +189,31 @@ class Aligner:
         """
         if self.n_kept > self.kept_tokens:
             self._forget()
-        new: dict[bytes, int] = {}
-        texts = []
-        for raw, ids in zip(raws, zip(of_a, of_b)):
-            fits = raw and all(size[i].sum() == len(raw) for size, i in zip(self.sizes, ids))
-            texts.append((raw, len(ids[0]), len(ids[1]), self._windows(ids, new) if fits else None))
-        self._learn(new)
-        for raw, n_a, n_b, windows in texts:
-            spelt = windows and b"".join(map(self.bytes.__getitem__, windows)) == raw
-            yield (n_a, n_b, *self._together(windows)) if spelt else None
+        lengths = np.array([len(raw) for raw in raws])
+        fit = lengths > 0
+        for size, ids in zip(self.sizes, (of_a, of_b)):
+            fit &= np.array([size[i].sum() for i in ids]) == lengths
+        places = np.flatnonzero(fit).tolist()
+        found: list[tuple | None] = [None] * len(raws)
+        if places:
+            ids = [np.concatenate([side[k] for k in places]) for side in (of_a, of_b)]
+            windows, ends = self._windows(ids, lengths[fit])
+            for k, low, high, parts in zip(places, [0, *ends], ends, self._together(windows, ends)):
+                if b"".join(map(self.bytes.__getitem__, windows[low:high])) == raws[k]:
+                    found[k] = len(of_a[k]), len(of_b[k]), *parts
+        return found
 
-    def _windows(self, ids: Sequence[np.ndarray], new: dict[bytes, int]) -> list[int]:
-        """Numbers of the windows between anchors: ends of both before tokens that begin with a space."""
+    def _windows(self, ids: Sequence[np.ndarray], lengths: np.ndarray) -> tuple[list[int], list[int]]:
+        """Numbers of the windows of texts one after the other, and where those of each end.
+
+        Windows lie between anchors: ends of both before tokens that begin with a space.
+        """
         starts = [np.cumsum(size[i]) - size[i] for size, i in zip(self.sizes, ids)]
         begins = [start[mark[i]] for start, mark, i in zip(starts, self.marked, ids)]
-        anchors = np.intersect1d(*begins, assume_unique=True)
+        texts = np.cumsum(lengths)
+        anchors = np.union1d(np.intersect1d(*begins, assume_unique=True), texts)
         anchors = anchors[anchors > 0]
-        cuts = [np.append(np.searchsorted(start, anchors), len(i)) for start, i in zip(starts, ids)]
+        cuts = [np.append(np.searchsorted(start, anchors[:-1]), len(i)) for start, i in zip(starts, ids)]
         sizes = [np.diff(c, prepend=0) for c in cuts]
         # All windows one after the other, the ids of a, a stroke and those of b in each.
         highs = np.cumsum(sizes[0] + sizes[1] + 1)
@@ -217,10 +225,12 @@ class Aligner:
         keys = [packed[low:high] for low, high in zip((4 * lows).tolist(), (4 * highs).tolist())]
         found = list(map(self.known.get, keys))
         n_left = sizes[0].tolist()
+        new: dict[bytes, int] = {}
         for k in [k for k, number in enumerate(found) if number is None]:
             found[k] = self.known.setdefault(keys[k], len(self.known))
             new[keys[k]] = 4 * n_left[k]
-        return found
+        self._learn(new)
+        return found, (np.searchsorted(anchors, texts) + 1).tolist()
 
     def _learn(self, new: dict[bytes, int]) -> None:
         """Align windows, given with the bytes of their a ids: a group ends wherever tokens of both do."""
@@ -305,19 +315,31 @@ class Aligner:
         self.times.frombytes(times.tobytes())
         self.ends.frombytes((base + np.cumsum(n_pairs)[last_group - 1]).tobytes())
 
-    def _together(self, windows: list[int]) -> tuple:
-        """What the windows of one text have together."""
-        text = "".join(map(self.texts.__getitem__, windows))[:-1]
-        used, often = np.unique(np.array(windows), return_counts=True)
-        n_groups = int(np.frombuffer(self.n_groups, np.int64)[used] @ often)
-        n_links = int(np.frombuffer(self.n_links, np.int64)[used] @ often)
+    def _together(self, windows: list[int], text_ends: list[int]) -> Iterator[tuple]:
+        """What the windows of each text have together."""
+        used, upto = np.array(windows), np.array(text_ends)
+        n_windows = np.diff(upto, prepend=0)
+        owner = np.repeat(np.arange(len(upto)), n_windows)
+        totals = [
+            np.bincount(owner, np.frombuffer(n, np.int64)[used], len(upto)).astype(np.int64).tolist()
+            for n in (self.n_groups, self.n_links)
+        ]
         ends = np.frombuffer(self.ends, np.int64)
         sizes = ends[used + 1] - ends[used]
         places = _spans(ends[used], sizes)
-        times = np.frombuffer(self.times, np.int64)[places] * np.repeat(often, sizes)
-        pairs, owner = np.unique(np.frombuffer(self.pairs, np.int64)[places], return_inverse=True)
-        totals = np.bincount(owner, times, len(pairs)).astype(np.int64)
-        return text, n_groups, n_links, pairs, totals
+        # Pairs in the order of texts, then numbers; equal ones are neighbours.
+        n_numbers = len(self.sizes[0]) * self.width
+        keys = np.frombuffer(self.pairs, np.int64)[places] + np.repeat(owner * n_numbers, sizes)
+        order = np.argsort(keys)
+        keys = keys[order]
+        first = np.flatnonzero(np.diff(keys, prepend=-1))
+        times = np.add.reduceat(np.frombuffer(self.times, np.int64)[places][order], first)
+        pairs = keys[first] % n_numbers
+        cuts = np.searchsorted(keys[first], np.arange(1, len(upto) + 1) * n_numbers).tolist()
+        spans = zip([0, *text_ends], text_ends, [0, *cuts], cuts)
+        for k, (low, high, from_pair, to_pair) in enumerate(spans):
+            text = "".join(map(self.texts.__getitem__, windows[low:high]))[:-1]
+            yield text, totals[0][k], totals[1][k], pairs[from_pair:to_pair], times[from_pair:to_pair]
 
 
 class _Block:
