@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import heapq
 import re
+import warnings
 import zlib
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
@@ -23,7 +24,8 @@ PREFIXES = (4, 5, 6, 7)
 PER_CLASS = 2500
 TRAIN_BYTES = 1 << 17
 SWAPS_PER_DOC = 4
-SWAP_SEED = "swaps"
+INSERTS_PER_DOC = 2
+SWAP_SEED, INSERT_SEED = "swaps", "inserts"
 
 # Groups of terms for people that are neutral in themselves. Terms of one group replace
 # each other in counterfactual sentences.
@@ -82,6 +84,10 @@ class WordFeatures:
         return np.unique(np.concatenate(found))
 
 
+def _sentences(text: str) -> list[str]:
+    return re.split(r"(?<=[.!?])\s+|\n+", text)
+
+
 def counterfactual_sentences(
     text: str, groups: Sequence[Sequence[str]] = IDENTITY_TERMS, most: int = SWAPS_PER_DOC
 ) -> Iterator[tuple[str, str]]:
@@ -92,10 +98,10 @@ def counterfactual_sentences(
     of = {term: group for group in groups for term in group}
 
     def places() -> Iterator[tuple[int, int, int, str, str]]:
-        for i, sentence in enumerate(re.split(r"(?<=[.!?])\s+|\n+", text)):
+        for i, sentence in enumerate(_sentences(text)):
             seed = zlib.crc32(f"{SWAP_SEED} {i} {sentence}".encode())
             for k, word in enumerate(re.findall(r"\w+", sentence)):
-                if word.lower() in of:
+                if len(of.get(word.lower(), ())) > 1:
                     yield zlib.crc32(str(k).encode(), seed), i, k, word, sentence
 
     drawn = sorted(heapq.nsmallest(most, places()), key=lambda place: place[1:3])
@@ -108,6 +114,31 @@ def counterfactual_sentences(
         yield sentence, re.sub(rf"\b{re.escape(word)}\b", other, sentence)
 
 
+def inserted_sentences(
+    text: str, groups: Sequence[Sequence[str]] = IDENTITY_TERMS, most: int = INSERTS_PER_DOC
+) -> Iterator[tuple[str, str]]:
+    """Sentences of the text with a term set into them, each with another term of its group.
+
+    Texts need not name any group for this. Of all words of the whole text, ``most`` are drawn by a seeded
+    hash, which also draws the group and its two terms; the term stands before the word.
+    """
+    groups = [group for group in groups if len(group) > 1]
+    if not groups:
+        return
+
+    def places() -> Iterator[tuple[int, int, int, str]]:
+        for i, sentence in enumerate(_sentences(text)):
+            seed = zlib.crc32(f"{INSERT_SEED} {i} {sentence}".encode())
+            for word in re.finditer(r"\w+", sentence):
+                yield zlib.crc32(str(word.start()).encode(), seed), i, word.start(), sentence
+
+    for turn, _, start, sentence in sorted(heapq.nsmallest(most, places()), key=lambda place: place[1:3]):
+        group = groups[turn % len(groups)]
+        one = turn // len(groups) % len(group)
+        other = (one + 1 + turn // len(groups) // len(group) % (len(group) - 1)) % len(group)
+        yield tuple(f"{sentence[:start]}{group[k]} {sentence[start:]}" for k in (one, other))
+
+
 @dataclass
 class LinearModel:
     """Weights of the features kept, sorted by feature."""
@@ -195,8 +226,9 @@ def fit_linear(
     return LinearModel(kept, w, float(bias))
 
 
-def training_rows(examples: DataFrame) -> DataFrame:
+def training_rows(examples: DataFrame, terms: Sequence[Sequence[str]] = IDENTITY_TERMS) -> DataFrame:
     """``(label, kind, features, others)`` of labelled texts, worked out where the texts are."""
+    terms = [list(group) for group in terms]
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features = WordFeatures()
@@ -205,7 +237,7 @@ def training_rows(examples: DataFrame) -> DataFrame:
             for label, text in zip(batch.column("label").to_pylist(), batch.column("text")):
                 text = text.as_py() or ""
                 out.append((float(label), "text", features.of_text(text).astype("<i4").tobytes(), None))
-                for one, other in counterfactual_sentences(text):
+                for one, other in (*counterfactual_sentences(text, terms), *inserted_sentences(text, terms)):
                     pair = (features.of_text(s).astype("<i4").tobytes() for s in (one, other))
                     out.append((float(label), "swap", *pair))
             columns = list(zip(*out)) if out else [[]] * 4
@@ -221,21 +253,27 @@ def training_rows(examples: DataFrame) -> DataFrame:
 
 
 def train(
-    docs: DataFrame, known: DataFrame, per_class: int = PER_CLASS, penalty: float = 5.0
+    docs: DataFrame,
+    known: DataFrame,
+    per_class: int = PER_CLASS,
+    penalty: float = 5.0,
+    terms: Sequence[Sequence[str]] = IDENTITY_TERMS,
 ) -> LinearModel:
-    """Fit on at most about ``per_class`` texts of each label.
+    """Fit on at most about ``per_class`` texts of each label, and their counterfactual sentences.
 
-    ``known`` are ``(doc_id, label)``. Texts over ``TRAIN_BYTES`` are not learned from, which
-    bounds what the driver holds.
+    ``known`` are ``(doc_id, label)``, ``terms`` groups of terms that may replace each other: those that a text
+    names, and some set into sentences that name none. Texts over ``TRAIN_BYTES`` are not learned
+    from, which bounds what the driver holds.
     """
     examples = drawn_examples(docs, known, per_class, "toxicity")
-    found = training_rows(examples.where(F.octet_length("text") <= TRAIN_BYTES)).collect()
-    found.sort(key=lambda r: (r.kind, r.label, bytes(r.features)))
+    found = training_rows(examples.where(F.octet_length("text") <= TRAIN_BYTES), terms).collect()
+    found.sort(key=lambda r: (r.kind, r.label, bytes(r.features), bytes(r.others or b"")))
     numbers = lambda raw: np.frombuffer(raw, "<i4").astype(np.int64)
+    swaps = [(numbers(r.features), numbers(r.others)) for r in found if r.kind == "swap"]
+    if found and terms and not swaps:
+        warnings.warn("no labelled text has a word, so there are no counterfactual sentences", stacklevel=2)
     return fit_linear(
-        [(r.label, numbers(r.features)) for r in found if r.kind == "text"],
-        [(numbers(r.features), numbers(r.others)) for r in found if r.kind == "swap"],
-        penalty,
+        [(r.label, numbers(r.features)) for r in found if r.kind == "text"], swaps, penalty
     )
 
 
@@ -279,23 +317,30 @@ def score(docs: DataFrame, model: LinearModel) -> DataFrame:
     return docs.select(*others, "text").mapInArrow(scored, shape.add("score", "double"))
 
 
-def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
+def toxicity(
+    docs: DataFrame, labels: DataFrame, terms: Sequence[Sequence[str]] = IDENTITY_TERMS
+) -> DataFrame:
     """``(doc_id, held_out, score, predicted)`` for every document.
 
     Learned from rows of ``labels`` whose id is not held out; labels, language, source
-    and id are no inputs. A null text scores as an empty one, which has no feature and so
+    and id are no inputs. Scores are held level between sentences that differ in a term of one group of ``terms``. A null text scores as an empty one, which has no feature and so
     the model's base score; a null id is not held out. Repeated rows are scored each, an
     empty table gives no rows, and without labels all score alike and low. Other
     columns are ignored.
     """
-    model = train(docs, known_labels(labels, "toxic"))
+    model = train(docs, known_labels(labels, "toxic"), terms=terms)
     held = F.coalesce(remainder(F.col("doc_id"), 5) == 0, F.lit(False))
     return score(docs.select("doc_id", "text"), model).select(
         "doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
     )
 
 
-def without_toxic(docs: DataFrame, labels: DataFrame, reject: float = 0.5) -> DataFrame:
+def without_toxic(
+    docs: DataFrame,
+    labels: DataFrame,
+    reject: float = 0.5,
+    terms: Sequence[Sequence[str]] = IDENTITY_TERMS,
+) -> DataFrame:
     """The documents that score below ``reject``, with all their columns."""
-    model = train(docs, known_labels(labels, "toxic"))
+    model = train(docs, known_labels(labels, "toxic"), terms=terms)
     return kept_by_score(docs, lambda rows: score(rows, model), F.col("score") < reject)
