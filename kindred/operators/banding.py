@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -42,10 +44,10 @@ def signatures(
 
 
 def band_key(band: Column, r: Column | int, compact: bool = True) -> Column:
-    """Key of a band: its r values joined by commas, or their md5."""
+    """Key of a band: its r values joined by commas, or the 16 bytes of their md5."""
     values = F.slice("signature", (band * r + 1).cast("int"), F.lit(r))
     key = F.array_join(values.cast("array<string>"), ",")
-    return F.md5(key) if compact else key
+    return F.unhex(F.md5(key)) if compact else key
 
 
 def band_keys(n_hashes: int, b: int, r: int, literal: bool = False) -> Column:
@@ -69,6 +71,33 @@ def band_rows(
     ).select("doc_id", "band", band_key(F.col("band"), r, compact).alias("key"))
 
 
+def cut_rows(
+    signed: DataFrame, cuts: Sequence[tuple[int, int]], n_hashes: int = N_HASHES
+) -> DataFrame:
+    """``signed`` without its signature, one row per document, cut and band.
+
+    ``cuts`` are (bands, rows). ``cut`` names them as in ``20x10``; ``keys`` are the keys of all bands of
+    the cut, ``key`` that of the row's ``band``.
+    """
+    others = [c for c in signed.columns if c != "signature"]
+    each = [
+        F.struct(F.lit(f"{g}x{r}").alias("cut"), band_keys(n_hashes, g, r).alias("keys")) for g, r in cuts
+    ]
+    return signed.select(*others, F.inline(F.array(*each))).select(
+        "*", F.posexplode("keys").alias("band", "key")
+    )
+
+
+def is_first_shared(band: Column, keys_x: Column, keys_y: Column) -> Column:
+    """Whether two documents that share a band share no earlier one."""
+    return ~shares_band(*[F.slice(keys, F.lit(1), band) for keys in (keys_x, keys_y)])
+
+
+def shares_band(keys_x: Column, keys_y: Column) -> Column:
+    """Whether two documents' key arrays agree in any band."""
+    return F.exists(F.zip_with(keys_x, keys_y, lambda p, q: p == q), lambda same: same)
+
+
 def buckets(rows: DataFrame) -> DataFrame:
     """Size and least id of every bucket with more than one document."""
     return (

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kindred.functions.charset import characters
 from kindred.functions.minhash import minhash_signature
 from kindred.functions.text import ngrams
 from kindred.operators.skew import balanced, join_counted
@@ -32,23 +33,26 @@ def copy_groups(keyed: DataFrame) -> DataFrame:
 
 
 def hashed_texts(docs: DataFrame, n_hashes: int, k: int) -> DataFrame:
-    """``(doc_id, text_key, signature)`` in one pass without a shuffle.
+    """``(doc_id, text_key, chars, signature)`` in one pass without a shuffle.
 
-    The signature of a text too short for a shingle is an empty array.
+    ``chars`` are the text's distinct characters. The signature of a text too short for a
+    shingle is an empty array.
     """
     return docs.where("text is not null").select(
         "doc_id",
         F.sha2("text", 256).alias("text_key"),
+        characters(F.col("text")).alias("chars"),
         minhash_signature(F.col("text"), n_hashes, k).alias("signature"),
     )
 
 
 def signed_groups(hashed: DataFrame) -> DataFrame:
-    """``(doc_id, n_copies, signature)`` of each distinct text with a signature, by least id."""
+    """``(doc_id, n_copies, chars, signature)`` of each distinct text with a signature, by least id."""
+    first = F.min(F.struct("doc_id", "chars", "signature")).alias("first")
     return (
         hashed.groupBy("text_key")
-        .agg(F.min(F.struct("doc_id", "signature")).alias("first"), F.count("*").alias("n_copies"))
-        .select("first.doc_id", "n_copies", "first.signature")
+        .agg(first, F.count("*").alias("n_copies"))
+        .select("first.doc_id", "n_copies", "first.chars", "first.signature")
         .where(F.size("signature") > 0)
     )
 

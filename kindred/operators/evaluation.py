@@ -7,18 +7,23 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kindred.functions.text import band_probability, char_set, cosine, jaccard, norm
+from kindred.functions import charset
+from kindred.functions.charset import Side, characters
+from kindred.functions.text import band_probability, cosine, jaccard, norm
 from kindred.operators.banding import (
     SHINGLE,
-    band_key,
     band_keys,
     band_rows,
+    cut_rows,
     effective_bands,
+    is_first_shared,
+    shares_band,
     signatures,
 )
+from kindred.operators.charsets import char_sets, similar_sets, with_sets
 from kindred.operators.sampling import seeded_samples
 from kindred.operators.similarity import candidate_pairs, similar_pairs, with_similarity
-from kindred.operators.skew import balanced, join_counted, pairs_sharing_key
+from kindred.operators.skew import balanced, join_counted, sums_of_pairs
 from kindred.storage import staged
 
 # Bands and rows per band that the parameter sweep compares.
@@ -102,22 +107,60 @@ def quality(counts: DataFrame) -> DataFrame:
     )
 
 
-def similar_char_total(docs: DataFrame) -> DataFrame:
-    """One row ``n_similar``: document pairs whose character sets are over 85 % similar.
+def candidate_counts(
+    signed: DataFrame,
+    sets: DataFrame,
+    cuts: Sequence[tuple[int, int]],
+    n_hashes: int,
+    by: Sequence[str] = (),
+) -> DataFrame:
+    """The counts of ``pair_counts`` by character similarity, without a list of the candidates.
 
-    Documents with the same character set form one weighted row before the join.
+    Documents carry their character sets and all keys of a cut into the buckets; a pair is compared in
+    the bucket of the first band it shares, and only sums leave the task. ``signed`` has ``chars``, whose sets
+    are in ``sets``. With ``cut`` in ``by`` there is one row per cut (bands, rows) that has candidates.
     """
-    chars = balanced(docs, "doc_id").where(F.length("text") > 0).select(
-        "doc_id", F.array_join(F.sort_array(char_set(F.col("text"))), "").alias("text")
+    described = with_sets(signed.select("doc_id", "n_copies", "chars", "signature"), sets)
+    rows = staged(cut_rows(described.drop("chars"), cuts, n_hashes), "cut-rows")
+    copies = copy_pairs(signed)
+
+    def sums(a: Side, b: Side) -> list[Column]:
+        weight = _weight(a, b)
+        sim = charset.similarity(a, b)
+        return [
+            (total(weight) + copies).alias("n_candidates"),
+            (total(F.when(sim > SIMILAR, weight)) + copies).alias("n_over_85"),
+            total(F.when(sim < DISSIMILAR, weight)).alias("n_under_60"),
+        ]
+
+    return sums_of_pairs(
+        rows,
+        ["cut", "band", "key"],
+        sums,
+        lambda a, b: is_first_shared(F.col("band"), a("keys"), b("keys")),
+        by=by,
+        carry=["keys", "n_copies", *charset.COLUMNS],
     )
-    sets = staged(
-        chars.groupBy("text").agg(
-            F.min("doc_id").alias("doc_id"), F.count("*").alias("n_copies")
-        ),
-        "char-sets",
+
+
+def _weight(a: Side, b: Side) -> Column:
+    """How many document pairs a pair stands for."""
+    return a("n_copies").cast("decimal(19,0)") * b("n_copies").cast("decimal(19,0)")
+
+
+def similar_set_total(sets: DataFrame) -> DataFrame:
+    """One row ``n_similar``: document pairs whose character sets are over 85 % similar.
+
+    Documents of one set are pairs too; those of different sets are summed up where sets meet.
+    """
+    return similar_sets(sets, SIMILAR, lambda a, b: [total(_weight(a, b)).alias("between")]).select(
+        (F.col("between") + copy_pairs(sets)).alias("n_similar")
     )
-    between = weighted(similar_pairs(sets, "char", SIMILAR, strict=True), sets)
-    return between.agg((total(F.col("weight")) + copy_pairs(sets)).alias("n_similar"))
+
+
+def similar_char_total(docs: DataFrame) -> DataFrame:
+    """The same from documents with their texts."""
+    return similar_set_total(char_sets(balanced(docs, "doc_id").select(characters(F.col("text")).alias("chars"))))
 
 
 def error_rates(counts: DataFrame, n_similar: Column, n_documents: Column) -> DataFrame:
@@ -169,11 +212,6 @@ def without(pairs: DataFrame, others: DataFrame) -> DataFrame:
     return pairs.join(others.select("x", "y"), ["x", "y"], "left_anti")
 
 
-def shares_band(keys_x: Column, keys_y: Column) -> Column:
-    """Whether two documents' key arrays agree in any band."""
-    return F.exists(F.zip_with(keys_x, keys_y, lambda p, q: p == q), lambda same: same)
-
-
 def sampled_error_rates(
     docs: DataFrame,
     b: int,
@@ -227,27 +265,20 @@ def sweep(
     n_documents: Column,
     n_hashes: int,
     settings: Sequence[tuple[int, int]] = SWEEP,
+    sets: DataFrame | None = None,
 ) -> DataFrame:
     """Quality and error rates of each (b, r) from one set of signatures.
 
     Settings that cut the signature alike are worked out once. The bands of all
-    distinct cuts go through one join, told apart by ``cut``.
+    distinct cuts go through one join, told apart by ``cut``, which gives sums and no pairs. Texts
+    of ``docs`` are read only where ``signed`` has no ``chars``.
     """
     cuts = {(b, r): (effective_bands(n_hashes, b, r), r) for b, r in settings}
-    bands = [
-        F.struct(F.lit(f"{g}x{r}").alias("cut"), F.lit(r).alias("r"), F.lit(i).alias("band"))
-        for g, r in sorted(set(cuts.values()))
-        for i in range(g)
-    ]
-    rows = signed.select("doc_id", "signature", F.inline(F.array(*bands))).select(
-        "doc_id", "cut", "band", band_key(F.col("band"), F.col("r")).alias("key")
-    )
-    pairs = staged(
-        pairs_sharing_key(staged(rows, "bands"), ["cut", "band", "key"], within=["cut"]), "pairs"
-    )
-    distinct_pairs = pairs.select("x", "y").distinct()
-    scored = pairs.join(with_similarity(distinct_pairs, docs, "char"), ["x", "y"])
-    counts = pair_counts(weighted(scored, signed), signed, by=["cut"])
+    if "chars" not in signed.columns:
+        signed = signed.join(docs.select("doc_id", characters(F.col("text")).alias("chars")), "doc_id")
+    if sets is None:
+        sets = char_sets(signed)
+    counts = candidate_counts(signed, sets, sorted(set(cuts.values())), n_hashes, by=["cut"])
     copies = copy_pairs(signed)
     listed = signed.sparkSession.createDataFrame(
         [(b, r, g, f"{g}x{r}") for (b, r), (g, _) in cuts.items()],

@@ -57,26 +57,25 @@ def spread_by(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     return rows.repartition(partitions, *keys)
 
 
-def pairs_sharing_key(
+def meetings(
     members: DataFrame,
     keys: Sequence[str],
     id_col: str = "doc_id",
-    within: Sequence[str] = (),
     carry: Sequence[str] = (),
     keep: Callable[[Callable[[str], Column], Callable[[str], Column]], Column] | None = None,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
-    """Unordered pairs of ids found together under at least one key.
-
-    Returns ``within`` columns, ``x``, ``y`` (x < y) and ``n_shared``, the number
-    of keys the two share. ``members`` holds each (keys, id) once. A group of more
-    than ``block_rows`` ids is cut into blocks, and every two blocks meet in a join
-    cell of their own, so a large group spreads over many tasks and no list of its
-    members is ever built. Members alone in their group, often nearly all, are dropped
-    before anything is stored or paired. ``keep`` tests a meeting of two members inside the join,
-    by their ``carry`` columns, so that meetings that fail are never written out.
+    """Every meeting of two ids under a key: the keys, ``_a``, ``_b`` and both sides' ``carry`` columns.
+
+    ``members`` holds each (keys, id) once; two ids meet under every key that both have, so as pairs they
+    come more than once. A group of more than ``block_rows`` ids is cut into blocks, and every two
+    blocks meet in a join cell of their own, so a large group spreads over many tasks and no
+    list of its members is ever built. Members alone in their group, often nearly all, are
+    dropped before anything is stored or paired. ``keep`` tests a meeting inside the join, by
+    its ``carry`` columns: a meeting that fails is never written out, and one that is summed up at once
+    never leaves its task.
     """
-    keys, within, carry = list(keys), list(within), list(carry)
+    keys, carry = list(keys), list(carry)
     groups = members.groupBy(*keys).agg(F.count("*").alias("_n")).where("_n > 1")
     sized = staged(join_counted(members, groups, keys, "_n"), "grouped")
     blocks = F.ceil(F.col("_n") / block_rows).cast("int")
@@ -108,7 +107,50 @@ def pairs_sharing_key(
         .where("_low < _high or _a < _b")
     )
     if keep is not None:
-        met = met.where(keep(lambda c: F.col(f"_a_{c}"), lambda c: F.col(f"_b_{c}")))
+        met = met.where(keep(_side("a"), _side("b")))
+    return met
+
+
+def _side(which: str) -> Callable[[str], Column]:
+    return lambda column: F.col(f"_{which}_{column}")
+
+
+def pairs_sharing_key(
+    members: DataFrame,
+    keys: Sequence[str],
+    id_col: str = "doc_id",
+    within: Sequence[str] = (),
+    carry: Sequence[str] = (),
+    keep: Callable[[Callable[[str], Column], Callable[[str], Column]], Column] | None = None,
+    block_rows: int = BLOCK_ROWS,
+) -> DataFrame:
+    """Unordered pairs of ids found together under at least one key.
+
+    Returns ``within`` columns, ``x``, ``y`` (x < y) and ``n_shared``, the number
+    of keys the two share; the other arguments are those of ``meetings``.
+    """
+    met = meetings(members, keys, id_col, carry, keep, block_rows)
     return met.groupBy(
         *within, F.least("_a", "_b").alias("x"), F.greatest("_a", "_b").alias("y")
     ).agg(F.count("*").alias("n_shared"))
+
+
+def sums_of_pairs(
+    members: DataFrame,
+    keys: Sequence[str],
+    sums: Callable[[Callable[[str], Column], Callable[[str], Column]], Sequence[Column]],
+    first: Callable[[Callable[[str], Column], Callable[[str], Column]], Column],
+    id_col: str = "doc_id",
+    by: Sequence[str] = (),
+    carry: Sequence[str] = (),
+    block_rows: int = BLOCK_ROWS,
+) -> DataFrame:
+    """Aggregates over pairs of ids that share a key, without a list of the pairs.
+
+    ``first`` tells, from the keys and both sides' ``carry`` columns, whether a meeting is the one under the
+    first key that the two share; only there is a pair looked at, so that it counts once and nothing need be
+    made distinct. ``sums`` are aggregates over such pairs for each value of the ``by`` columns, which are
+    among the keys. Joins carry members only; what is shuffled after them are partial sums.
+    """
+    met = meetings(members, keys, id_col, carry, first, block_rows)
+    return met.groupBy(*by).agg(*sums(_side("a"), _side("b")))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kindred.functions.text import clean_text, ngrams
-from kindred.operators import banding, documents, evaluation, sampling, similarity
+from kindred.operators import banding, charsets, documents, evaluation, sampling, similarity
 from kindred.operators.skew import balanced
 from kindred.plans.tables import documents as read_documents
 from kindred.plans.tables import table
@@ -31,11 +31,12 @@ SHORT_BANDS, SHORT_ROWS = 100, 2
 class Signed:
     """Documents, and the stored tables made from them once.
 
-    ``keyed`` has a digest per document, ``groups`` a row per distinct text, and
-    ``signed`` the signatures of those.
+    ``hashed`` has digest, characters and signature of every document, ``keyed`` the digest alone,
+    ``groups`` a row per distinct text, and ``signed`` the signatures of those.
     """
 
     docs: DataFrame
+    hashed: DataFrame
     keyed: DataFrame
     groups: DataFrame
     signed: DataFrame
@@ -54,6 +55,14 @@ class Signed:
     def band_rows(self, b: int = BANDS, r: int = ROWS) -> DataFrame:
         return staged(banding.band_rows(self.signed, b, r, self.n_hashes), "bands")
 
+    def char_sets(self) -> DataFrame:
+        return charsets.char_sets(self.hashed)
+
+    def counts(self, sets: DataFrame, b: int = BANDS, r: int = ROWS) -> DataFrame:
+        """Counts of the candidates of one setting by their character similarity."""
+        cut = banding.effective_bands(self.n_hashes, b, r), r
+        return evaluation.candidate_counts(self.signed, sets, [cut], self.n_hashes)
+
     def candidates(self, b: int = BANDS, r: int = ROWS) -> DataFrame:
         return staged(similarity.candidate_pairs(self.band_rows(b, r)), "candidates")
 
@@ -67,7 +76,7 @@ def sign(docs: DataFrame, n_hashes: int = N_HASHES, k: int = SHINGLE) -> Signed:
     keyed = hashed.select("doc_id", "text_key")
     groups = staged(documents.copy_groups(keyed), "copy-groups")
     signed = staged(documents.signed_groups(hashed), "signatures")
-    return Signed(docs, keyed, groups, signed, n_hashes)
+    return Signed(docs, hashed, keyed, groups, signed, n_hashes)
 
 
 def signed_documents(spark: SparkSession, sf_dir: str) -> Signed:
@@ -184,7 +193,9 @@ def lsh_buckets(spark: SparkSession, sf_dir: str, literal: bool = False) -> Data
     signed = signed_documents(spark, sf_dir).signed
     rows = staged(banding.band_rows(signed, BANDS, ROWS, N_HASHES, literal), "bands")
     found = banding.buckets(rows)
-    return found.select(F.col("band").cast("bigint").alias("band"), "key", "n_docs", "first_doc")
+    return found.select(
+        F.col("band").cast("bigint").alias("band"), F.lower(F.hex("key")).alias("key"), "n_docs", "first_doc"
+    )
 
 
 def _candidates(stage: Signed, b: int) -> DataFrame:
@@ -216,8 +227,8 @@ def clean_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def candidate_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Candidates with their similarity in all three domains and the signature cosine."""
     stage = signed_documents(spark, sf_dir)
-    pairs = stage.candidates()
-    scored = similarity.with_similarity(pairs, stage.texts(), "char", name="sim_char")
+    described = charsets.with_sets(stage.signed, charsets.char_sets(stage.signed))
+    scored = charsets.with_char_similarity(stage.candidates(), described, name="sim_char")
     scored = similarity.with_similarity(
         scored, stage.texts(), "shingle", SHINGLE, name="sim_shingle"
     )
@@ -284,36 +295,33 @@ def _as_doubles(counts: DataFrame) -> DataFrame:
     return counts.select(*columns)
 
 
-def _scored(stage: Signed, b: int = BANDS, r: int = ROWS) -> DataFrame:
-    pairs = similarity.with_similarity(stage.candidates(b, r), stage.texts(), "char")
-    return evaluation.weighted(pairs, stage.signed)
-
-
 def lsh_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     stage = signed_documents(spark, sf_dir)
-    counts = evaluation.pair_counts(_scored(stage), stage.signed)
-    return _as_doubles(evaluation.quality(counts))
+    return _as_doubles(evaluation.quality(stage.counts(charsets.char_sets(stage.signed))))
 
 
-def _similar_total(docs: DataFrame):
-    return staged(evaluation.similar_char_total(docs), "similar-total").scalar()
+def _similar_total(sets: DataFrame) -> Column:
+    return staged(evaluation.similar_set_total(sets), "similar-total").scalar()
 
 
 def lsh_fp_fn(
     spark: SparkSession, sf_dir: str, b: int = BANDS, r: int = ROWS
 ) -> DataFrame:
     stage = signed_documents(spark, sf_dir)
-    counts = evaluation.pair_counts(_scored(stage, b, r), stage.signed)
+    sets = stage.char_sets()
     n_documents = stage.docs.agg(F.count("*")).scalar()
-    return _as_doubles(evaluation.error_rates(counts, _similar_total(stage.docs), n_documents))
+    return _as_doubles(
+        evaluation.error_rates(stage.counts(sets, b, r), _similar_total(sets), n_documents)
+    )
 
 
 def lsh_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
     stage = signed_documents(spark, sf_dir)
+    sets = stage.char_sets()
     n_documents = stage.docs.agg(F.count("*")).scalar()
     return _as_doubles(
         evaluation.sweep(
-            stage.texts(), stage.signed, _similar_total(stage.docs), n_documents, N_HASHES
+            stage.docs, stage.signed, _similar_total(sets), n_documents, N_HASHES, sets=sets
         )
     )
 
