@@ -8,8 +8,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kindred.functions.text import clean_text, ngrams
-from kindred.operators import banding, charsets, documents, evaluation, sampling, similarity
-from kindred.operators.skew import balanced
+from kindred.operators import (
+    band_index,
+    banding,
+    charsets,
+    classes,
+    documents,
+    evaluation,
+    sampling,
+    similarity,
+)
+from kindred.operators.skew import balanced, join_counted
 from kindred.plans.tables import documents as read_documents
 from kindred.plans.tables import table
 from kindred.sources import readers
@@ -25,6 +34,8 @@ CLEAN_HASHES, CLEAN_BANDS = 150, 15
 # rows bring in unlike ones.
 LONG_BANDS, LONG_ROWS = 10, 20
 SHORT_BANDS, SHORT_ROWS = 100, 2
+# Least shingle similarity of a document to a text of a few hundred characters that it may quote.
+LEAST_LIKE = 0.1
 
 
 @dataclass
@@ -211,6 +222,36 @@ def lsh_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _candidates(signed_documents(spark, sf_dir), BANDS)
 
 
+def _classes(spark: SparkSession, sf_dir: str) -> tuple[Signed, DataFrame, DataFrame]:
+    stage = signed_documents(spark, sf_dir)
+    return stage, *classes.candidate_classes(stage.signed, BANDS, ROWS, N_HASHES)
+
+
+def lsh_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classes of more than one document, with their texts, documents and links between texts."""
+    found = _classes(spark, sf_dir)[2]
+    return found.where("n_documents > 1").select("class_id", "n_texts", "n_documents", "n_links")
+
+
+def lsh_class_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The class of every document that has a shingle."""
+    stage, members, _ = _classes(spark, sf_dir)
+    texts = members.withColumnRenamed("doc_id", "rep_id")
+    counted = texts.join(stage.signed.select(F.col("doc_id").alias("rep_id"), "n_copies"), "rep_id")
+    found = join_counted(stage.members().select("doc_id", "rep_id"), counted, ["rep_id"], "n_copies")
+    return found.select("doc_id", "class_id")
+
+
+def similar_to_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents like the benchmark texts, found through a stored index of all documents."""
+    docs = read_documents(spark, sf_dir)
+    index = band_index.BandIndex(fresh_path(spark, "band-index"), SHORT_BANDS, SHORT_ROWS, slots=2)
+    band_index.append(index, docs)
+    asked = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), "text")
+    found = band_index.similar_to_texts(index, asked, docs, LEAST_LIKE)
+    return found.withColumn("sim", F.round("sim", 6))
+
+
 def _clean_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_documents(spark, sf_dir).withColumn("text", clean_text(F.col("text")))
 

@@ -14,6 +14,7 @@ from kindred.plans.near_duplicates import (
     CLEAN_BANDS,
     CLEAN_HASHES,
     CLEAN_SHINGLE,
+    LEAST_LIKE,
     LONG_BANDS,
     LONG_ROWS,
     N_HASHES,
@@ -22,6 +23,7 @@ from kindred.plans.near_duplicates import (
     SHORT_BANDS,
     SHORT_ROWS,
 )
+from kindred.sources.writers import RULE_HEAD, RULE_LINE
 
 # --- market basket ---------------------------------------------------------
 
@@ -110,13 +112,11 @@ SELECT array_to_string(antecedent, ', ') AS antecedent, consequent, support_cnt,
 
 def report_select(k: int) -> str:
     """Report lines from CTE ``rules{k}``."""
-    padding = {2: 2, 3: 19}[k]
     numbers = " || ".join(
         f"chr(9) || printf('%.4f', {c})" for c in ("std_lift", "lift", "confidence", "interest")
     )
-    return f"""SELECT unnest(['Association Rules', repeat('=', 41),
-  'Association Rule' || chr(9) || repeat(' ', {padding}) || 'Std Lift' || chr(9)
-  || 'Lift  Confidence Interest', repeat('=', 41)]) AS line UNION ALL
+    head = ", ".join(f"'{line}'" for line in ("Association Rules", RULE_LINE, RULE_HEAD[k], RULE_LINE))
+    return f"""SELECT unnest([{head}]) AS line UNION ALL
 SELECT {LABEL.format('antecedent')} || ' -> ' || consequent || {numbers} AS line
 FROM rules{k} WHERE std_lift >= 0.2"""
 
@@ -386,7 +386,40 @@ SELECT s1, s2, b, r, round(p_s1, 6) AS p_s1, round(p_s2, 6) AS p_s2, feasible,
        row_number() OVER (ORDER BY feasible DESC, p_s1 DESC, p_s2, b, r) = 1 AS is_best
 FROM flagged"""
 
+CLASSES = f"""WITH RECURSIVE {UNIQUE},{stage('uniq')},
+edges AS (SELECT x, y FROM cand UNION ALL SELECT y, x FROM cand),
+reach(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM sigs
+  UNION
+  SELECT r.doc_id, e.y FROM reach r JOIN edges e ON e.x = r.other),
+classed AS (SELECT doc_id, min(other) AS class_id FROM reach GROUP BY doc_id)"""
+
+ASKED = f"""WITH asked AS (SELECT item_id AS doc_id, text FROM benchmark),
+{signature_cte('documents')},{signature_cte('asked', name='asked_sigs')},
+bands AS ({band_select(SHORT_BANDS, SHORT_ROWS)}),
+asked_bands AS ({band_select(SHORT_BANDS, SHORT_ROWS, 'asked_sigs')}),
+found AS (SELECT DISTINCT a.doc_id AS query_id, b.doc_id
+          FROM asked_bands a JOIN bands b USING (band, key)),
+{grams('held', 'documents', SHINGLE)},{grams('wanted', 'asked', SHINGLE)},
+sizes AS (SELECT doc_id, count(*) AS n FROM held GROUP BY doc_id),
+wanted_sizes AS (SELECT doc_id, count(*) AS n FROM wanted GROUP BY doc_id),
+shared AS (SELECT w.doc_id AS query_id, h.doc_id, count(*) AS m
+           FROM wanted w JOIN held h USING (g) GROUP BY 1, 2)"""
+
 NEAR_DUPLICATES = {
+    "lsh_classes": f"""{CLASSES}
+SELECT class_id, count(*) AS n_texts, sum(n_copies)::BIGINT AS n_documents,
+       sum((SELECT count(*) FROM cand WHERE cand.x = classed.doc_id))::BIGINT AS n_links
+FROM classed JOIN uniq USING (doc_id) GROUP BY class_id HAVING sum(n_copies) > 1""",
+    "lsh_class_members": f"""{CLASSES}
+SELECT d.doc_id, class_id FROM classed JOIN uniq USING (doc_id)
+JOIN documents d ON d.text = uniq.text""",
+    "similar_to_texts": f"""{ASKED}
+SELECT query_id, doc_id, round(sim, 6) AS sim FROM (
+  SELECT query_id, doc_id, m::DOUBLE / (a.n + b.n - m) AS sim
+  FROM shared JOIN found USING (query_id, doc_id)
+  JOIN wanted_sizes a ON a.doc_id = query_id JOIN sizes b USING (doc_id))
+WHERE sim >= {LEAST_LIKE}::DOUBLE""",
     "latest_turn": "SELECT conv_id, arg_max(text, turn) AS text FROM conversations GROUP BY conv_id",
     "json_documents": "SELECT doc_id, text FROM documents",
     "tsv_sentences": f"SELECT {CLEAN.format('text')} AS sentence_A FROM benchmark",
