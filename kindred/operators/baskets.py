@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -50,15 +48,6 @@ def basket_sizes(rows: DataFrame) -> DataFrame:
     return rows.groupBy("basket").agg(F.count("*").alias("n_items"))
 
 
-@dataclass(frozen=True)
-class BasketShape:
-    """Number of baskets, and the number of items in the widest."""
-
-    n_baskets: int
-    widest: int
-
-
-def basket_shape(rows: DataFrame) -> BasketShape:
-    """One pass over the rows; only the two totals reach the driver."""
-    totals = basket_sizes(rows).agg(F.count("*"), F.coalesce(F.max("n_items"), F.lit(0)))
-    return BasketShape(*totals.first())
+def count_baskets(rows: DataFrame) -> int:
+    """Number of baskets; only that comes to the driver."""
+    return rows.select("basket").distinct().count()

@@ -96,8 +96,12 @@ def association_rules(
     )
 
 
-def strong_rules(rules: DataFrame, min_std_lift: float = MIN_STD_LIFT) -> DataFrame:
-    """Rules of at least the given standardized lift, strongest first."""
-    return rules.where(F.col("std_lift") >= min_std_lift).orderBy(
-        F.desc("std_lift"), "antecedent", "consequent"
-    )
+def strong_rules(
+    rules: DataFrame, min_std_lift: float = MIN_STD_LIFT, ordered: bool = True
+) -> DataFrame:
+    """Rules of at least the given standardized lift, strongest first unless ``ordered`` is false.
+
+    A report sorts its lines itself and need not have its rules sorted before.
+    """
+    strong = rules.where(F.col("std_lift") >= min_std_lift)
+    return strong.orderBy(F.desc("std_lift"), "antecedent", "consequent") if ordered else strong

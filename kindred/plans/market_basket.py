@@ -22,8 +22,8 @@ def mined(
 ) -> tuple[DataFrame, int]:
     """Frequent itemsets of basket rows, and the number of baskets."""
     rows = staged(rows, "basket-rows")
-    shape = baskets.basket_shape(rows)
-    return itemsets.frequent_itemsets(rows, support, max_k, shape=shape), shape.n_baskets
+    n_baskets = baskets.count_baskets(rows)
+    return itemsets.frequent_itemsets(rows, support, max_k, n_baskets), n_baskets
 
 
 def order_itemsets(spark: SparkSession, sf_dir: str, max_k: int = 3) -> DataFrame:
@@ -78,7 +78,7 @@ def rules_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rules of both sizes that reach the least standardized lift, textbook scores."""
     found, n_baskets = mined(order_rows(spark, sf_dir), ORDER_SUPPORT)
     kept = [
-        rules.strong_rules(rules.association_rules(found, n_baskets, k)) for k in (2, 3)
+        rules.strong_rules(rules.association_rules(found, n_baskets, k), ordered=False) for k in (2, 3)
     ]
     return kept[0].unionByName(kept[1]).select(
         "k",
@@ -90,7 +90,7 @@ def rules_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def rule_report(spark: SparkSession, sf_dir: str, k: int) -> DataFrame:
     scored = order_rules(spark, sf_dir, k, "literal")
-    return writers.rule_report(rules.strong_rules(scored), k)
+    return writers.rule_report(rules.strong_rules(scored, ordered=False), k)
 
 
 def event_baskets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -184,7 +184,7 @@ def report_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         writers.write_lines(writers.itemset_report(top, k), f"{path}/itemsets_k_{k}")
     for k in (2, 3):
         scored = rules.association_rules(found, n_baskets, k, "literal")
-        report = writers.rule_report(rules.strong_rules(scored), k)
+        report = writers.rule_report(rules.strong_rules(scored, ordered=False), k)
         writers.write_lines(report, f"{path}/rules_k_{k}")
     return spark.read.text([f"{path}/itemsets_k_{k}" for k in (1, 2, 3)]).withColumnRenamed(
         "value", "line"

@@ -220,3 +220,21 @@ def test_samples_are_of_the_asked_size(spark):
     ids = spark.range(500).withColumnRenamed("id", "doc_id")
     sizes = sampling.seeded_samples(ids, 20, 3).groupBy("seed").agg(F.count("*").alias("n"))
     assert [r["n"] for r in sizes.collect()] == [20, 20, 20]
+
+
+@pytest.mark.parametrize("block", [2, 256])
+def test_shared_and_wide_baskets_equal_brute_force(spark, monkeypatch, block):
+    monkeypatch.setattr(itemsets._extend, "__defaults__", (block,))
+    rng = random.Random(block)
+    items = [f"i{k:02d}" for k in range(40)]
+    content = {b: rng.sample(items, rng.randint(20, 35)) for b in range(12)}
+    # A third of all baskets are one and the same.
+    content.update({100 + b: ["i03", "i01", "i02"] for b in range(20)})
+    content.update({200 + b: rng.sample(items, 3) for b in range(30)})
+    thresholds = {1: 8, 2: 7, 3: 6, 4: 5}
+    found = itemsets.frequent_itemsets(as_rows(spark, content), thresholds, max_k=4)
+    assert collected(found) == brute_force(content, thresholds, 4)
+    ranges = itemsets._extend(as_rows(spark, content)).collect()
+    assert max(r.n for r in ranges) >= 20
+    assert sum(r.n for r in ranges if r.low == 0) == len(content)
+    assert all(r.high - r.low < block for r in ranges)
