@@ -36,18 +36,13 @@ def word_of(number: Column, k: int) -> Column:
     return F.when(inside, bit)
 
 
-def _common(a: Side, b: Side) -> tuple[list[Column], Column]:
-    words = [a(f"w{k}").bitwiseAND(b(f"w{k}")) for k in range(WORDS)]
-    return words, F.array_intersect(a("rest"), b("rest"))
-
-
 def overlap(a: Side, b: Side) -> Column:
     """Number of characters that two sets share."""
-    words, rest = _common(a, b)
-    counts = reduce(lambda x, y: x + y, [F.bit_count(w) for w in words])
+    words = [F.bit_count(a(f"w{k}").bitwiseAND(b(f"w{k}"))) for k in range(WORDS)]
     # Most sets have no list; that of two is looked at only where both have one.
     both = (F.size(a("rest")) > 0) & (F.size(b("rest")) > 0)
-    return counts + F.when(both, F.size(rest)).otherwise(0)
+    listed = F.when(both, F.size(F.array_intersect(a("rest"), b("rest")))).otherwise(0)
+    return reduce(lambda x, y: x + y, words) + listed
 
 
 def similarity(a: Side, b: Side) -> Column:
@@ -56,16 +51,26 @@ def similarity(a: Side, b: Side) -> Column:
     return F.coalesce(F.try_divide(both, a("size") + b("size") - both), F.lit(0.0))
 
 
-def is_highest_common(number: Column, a: Side, b: Side) -> Column:
-    """Whether no greater number than this one, which both sets hold, is in both."""
-    words, rest = _common(a, b)
-    # Bits above the number's own in its word.
-    above = F.call_function("shiftleft", F.lit(-2).cast("long"), (number % BITS).cast("int"))
-    both = (F.size(a("rest")) > 0) & (F.size(b("rest")) > 0)
-    in_list = F.when(both, F.coalesce(F.array_max(rest), F.lit(-1))).otherwise(F.lit(-1))
-    test = in_list == number
-    for k in reversed(range(WORDS)):
-        higher = [words[k].bitwiseAND(above), *words[k + 1 :]]
-        none = reduce(lambda x, y: x.bitwiseOR(y), higher) == 0
-        test = F.when((number >= k * BITS) & (number < (k + 1) * BITS), none & (in_list == -1)).otherwise(test)
-    return test
+def above(number: Column) -> dict[str, Column]:
+    """The set's bits and list without the number and all below: columns ``a0..`` and ``list_above``."""
+    place = (number % BITS).cast("int")
+    higher = F.call_function("shiftleft", F.lit(-2).cast("long"), place)
+    cut = {
+        f"a{k}": F.when(number < k * BITS, F.col(f"w{k}"))
+        .when(number < (k + 1) * BITS, F.col(f"w{k}").bitwiseAND(higher))
+        .otherwise(F.lit(0).cast("long"))
+        for k in range(WORDS)
+    }
+    return {**cut, "list_above": F.filter("rest", lambda n: n > number)}
+
+
+ABOVE = (*[f"a{k}" for k in range(WORDS)], "list_above")
+
+
+def shares_none_above(a: Side, b: Side) -> Column:
+    """Whether two sets with ``above`` columns of one number share no greater one."""
+    words = [a(f"a{k}").bitwiseAND(b(f"a{k}")) for k in range(WORDS)]
+    none = reduce(lambda x, y: x.bitwiseOR(y), words) == 0
+    lists = a("list_above"), b("list_above")
+    both = (F.size(lists[0]) > 0) & (F.size(lists[1]) > 0)
+    return none & ~(both & F.arrays_overlap(*lists))

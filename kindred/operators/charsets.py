@@ -10,6 +10,10 @@ from kindred.operators.skew import join_counted, sums_of_pairs
 from kindred.storage import staged
 
 
+# Sets of one cell. Few characters are the rarest of very many sets, so cells are small to be many.
+SET_BLOCK = 512
+
+
 def char_sets(rows: DataFrame) -> DataFrame:
     """``(chars, n_copies, numbers, size, w0.., rest)``, one row per distinct character set.
 
@@ -82,6 +86,7 @@ def similar_sets(
     prefixes = sets.select(
         "chars", "n_copies", *charset.COLUMNS, F.posexplode(F.slice("numbers", F.lit(1), length))
     ).withColumnsRenamed({"pos": "place", "col": "number"})
+    prefixes = prefixes.withColumns(charset.above(F.col("number")))
 
     def first(a, b) -> Column:
         # Where two similar sets first meet, the numbers still to come must suffice.
@@ -89,7 +94,7 @@ def similar_sets(
         enough = still >= least_overlap(a("size") + b("size"), threshold / (1 + threshold))
         return (
             enough
-            & charset.is_highest_common(F.col("number"), a, b)
+            & charset.shares_none_above(a, b)
             & (charset.similarity(a, b) > threshold)
         )
 
@@ -99,5 +104,6 @@ def similar_sets(
         sums,
         first,
         id_col="chars",
-        carry=["n_copies", "place", *charset.COLUMNS],
+        carry=["n_copies", "place", *charset.COLUMNS, *charset.ABOVE],
+        block_rows=SET_BLOCK,
     )

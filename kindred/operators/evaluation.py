@@ -24,7 +24,7 @@ from kindred.operators.charsets import char_sets, similar_sets, with_sets
 from kindred.operators.sampling import seeded_samples
 from kindred.operators.similarity import candidate_pairs, similar_pairs, with_similarity
 from kindred.operators.skew import balanced, join_counted, sums_of_pairs
-from kindred.storage import staged
+from kindred.storage import staged, staged_observed
 
 # Bands and rows per band that the parameter sweep compares.
 SWEEP = ((20, 5), (20, 10), (50, 10), (50, 20), (100, 10), (200, 10))
@@ -366,11 +366,16 @@ def pair_table(
         ).alias("cosine"),
         shares_band(F.col("dx.keys"), F.col("dy.keys")).alias("is_candidate"),
     )
-    return normalized(staged(table, "pair-table"), "cosine", "cosine_norm")
+    cosine_column = F.col("cosine")
+    stored, seen = staged_observed(
+        table, "pair-table", low=F.min(cosine_column), high=F.max(cosine_column)
+    )
+    return normalized(stored, "cosine", "cosine_norm", seen["low"], seen["high"])
 
 
-def normalized(rows: DataFrame, column: str, name: str) -> DataFrame:
-    """Add ``column`` scaled to 0..1 over the whole table; null if it is constant."""
-    low = rows.agg(F.min(column)).scalar()
-    high = rows.agg(F.max(column)).scalar()
-    return rows.withColumn(name, (F.col(column) - low) / F.nullif(high - low, F.lit(0.0)))
+def normalized(
+    rows: DataFrame, column: str, name: str, low: float | None, high: float | None
+) -> DataFrame:
+    """Add ``column`` scaled to 0..1 by its least and greatest value; null if it is constant."""
+    ends = [F.lit(end).cast("double") for end in (low, high)]
+    return rows.withColumn(name, (F.col(column) - ends[0]) / F.nullif(ends[1] - ends[0], F.lit(0.0)))

@@ -20,13 +20,17 @@ def bernoulli_sample(rows: DataFrame, fraction: float = 0.06, seed: int = 42) ->
     return rows.sample(False, fraction, seed)
 
 
+def in_hash_percent(key: str, percent: int, seed: int = 42) -> Column:
+    """Whether a key hashes into the first ``percent`` of 100 buckets."""
+    return F.pmod(stable_hash(F.lit(seed), F.col(key)), F.lit(100)) < percent
+
+
 def hash_percent_sample(rows: DataFrame, key: str, percent: int, seed: int = 42) -> DataFrame:
     """All rows whose key hashes into the first ``percent`` of 100 buckets.
 
     With a row id as key this samples rows, with a basket id whole baskets.
     """
-    bucket = F.pmod(stable_hash(F.lit(seed), F.col(key)), F.lit(100))
-    return rows.where(bucket < percent)
+    return rows.where(in_hash_percent(key, percent, seed))
 
 
 def first_rows(rows: DataFrame, n: int, order: str = "doc_id") -> DataFrame:
@@ -44,16 +48,16 @@ def seeded_samples(
 ) -> DataFrame:
     """``n_samples`` independent samples of n rows, told apart by ``seed``.
 
-    Each is a distributed top-n, so no task sorts the whole table.
+    Sample by sample the rows that ``random_rows`` takes with that seed, in one scan: rows are ranked
+    by their hash for every seed, and each task keeps its first n of a seed before anything is
+    shuffled.
     """
-    samples = [
-        random_rows(rows, n, key, seed).withColumn("seed", F.lit(seed))
-        for seed in range(n_samples)
-    ]
-    combined = samples[0]
-    for sample in samples[1:]:
-        combined = combined.unionByName(sample)
-    return combined
+    seeds = F.explode(F.sequence(F.lit(0), F.lit(n_samples - 1))).alias("seed")
+    drawn = rows.select("*", seeds).withColumn("_turn", stable_hash(F.col("seed"), F.col(key)))
+    rank = F.row_number().over(Window.partitionBy("seed").orderBy("_turn", key))
+    return (
+        drawn.withColumn("_rank", rank).where(F.col("_rank") <= n).drop("_rank", "_turn").select(*rows.columns, "seed")
+    )
 
 
 # Hash buckets that numbering is done within; each holds an even share of the ids.

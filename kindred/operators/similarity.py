@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,6 +43,17 @@ def _with_column_of_both(pairs: DataFrame, docs: DataFrame, column: str) -> Data
     return pairs.join(one, "x").join(other, "y")
 
 
+def both_sides(pairs: DataFrame, docs: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Add structs ``of_x`` and ``of_y`` of the given columns of both documents of a pair.
+
+    For pairs compared in several ways: each side is fetched once.
+    """
+    for side in ("x", "y"):
+        held = docs.select(F.col("doc_id").alias(side), F.struct(*columns).alias(f"of_{side}"))
+        pairs = pairs.join(held, side)
+    return pairs
+
+
 def with_similarity(
     pairs: DataFrame, docs: DataFrame, domain: str, k: int = SHINGLE, name: str = "sim"
 ) -> DataFrame:

@@ -141,14 +141,14 @@ def bernoulli_check(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows in all, rows in the hash sample, baskets of the sample."""
+    """Rows in all, rows in the hash sample, baskets of the sample; all from one scan."""
     events = table(spark, sf_dir, "events").select("event_id", "user_id", "ts")
-    taken = sampling.hash_percent_sample(events, "event_id", 6)
-    days = taken.select("user_id", F.to_date("ts").alias("day")).distinct()
-    return events.agg(F.count("*").alias("n_rows")).select(
-        "n_rows",
-        taken.agg(F.count("*")).scalar().alias("n_sampled"),
-        days.agg(F.count("*")).scalar().alias("n_baskets"),
+    taken = sampling.in_hash_percent("event_id", 6)
+    basket = F.struct("user_id", F.to_date("ts").alias("day"))
+    return events.agg(
+        F.count("*").alias("n_rows"),
+        F.count_if(taken).alias("n_sampled"),
+        F.count_distinct(F.when(taken, basket)).alias("n_baskets"),
     )
 
 

@@ -7,7 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kindred.functions.text import clean_text, ngrams
+from kindred.functions import charset
+from kindred.functions.text import clean_text, cosine, jaccard, ngrams, norm, shingle_set
 from kindred.operators import (
     band_index,
     banding,
@@ -21,7 +22,7 @@ from kindred.operators import (
 from kindred.operators.skew import balanced, join_counted
 from kindred.plans.tables import documents as read_documents
 from kindred.plans.tables import table
-from kindred.sources import readers
+from kindred.sources import readers, writers
 from kindred.storage import fresh_path, staged
 
 N_HASHES = 200
@@ -122,6 +123,65 @@ def tsv_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.read_sentences(spark, path)
 
 
+def tsv_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Document texts as they are, with tabs, quotes and line breaks, through a tab-separated file."""
+    path = fresh_path(spark, "texts")
+    texts = read_documents(spark, sf_dir).where("text <> ''")
+    writers.write_quoted(
+        texts.select(F.col("doc_id").alias("pair_ID"), F.col("text").alias("sentence_A")), path, sep="\t"
+    )
+    return readers.read_sentences(spark, path, multiline=True)
+
+
+def last_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turns of conversations as JSON lines, in the order of turns; of each conversation the last line wins."""
+    path = fresh_path(spark, "turns")
+    turns = table(spark, sf_dir, "conversations").orderBy("turn", "conv_id")
+    turns.select(F.col("conv_id").alias("tweet_id"), "text").write.json(path)
+    lines = readers.read_json_lines(spark, path, "bigint").rows
+    return documents.latest_per_id(lines, "doc_id", "text", "position")
+
+
+def _damaged(lines: DataFrame) -> DataFrame:
+    """The lines, some of them cut short, emptied of their id, or in place of another kind of value."""
+    turn = F.col("doc_id") % 20
+    damaged = (
+        F.when(turn == 3, F.substring("line", 1, 15))
+        .when(turn == 7, F.concat(F.lit("["), "line", F.lit("]")))
+        .when(turn == 11, F.regexp_replace("line", r'^\{"tweet_id":\d+,', '{"tweet_id":"none",'))
+        .when(turn == 15, F.regexp_replace("line", r'^\{"tweet_id":\d+,', "{"))
+    )
+    return lines.select(F.coalesce(damaged, F.col("line")).alias("value"))
+
+
+def quarantined_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as JSON lines, some of them broken, read back: lines kept, and lines refused by reason."""
+    path = fresh_path(spark, "broken-lines")
+    docs = read_documents(spark, sf_dir).where("text is not null")
+    named = F.struct(F.col("doc_id").alias("tweet_id"), F.substring("text", 1, 200).alias("text"))
+    _damaged(docs.select("doc_id", F.to_json(named).alias("line"))).write.text(path)
+    found = readers.read_json_lines(spark, path, "bigint")
+    kept = found.rows.select(F.lit("kept").alias("outcome"))
+    refused = found.refused.select(F.col("reason").alias("outcome"))
+    return kept.unionByName(refused).groupBy("outcome").agg(F.count("*").alias("n_lines"))
+
+
+def quarantined_conditions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with a condition file: lines with a field too many or too few are refused."""
+    path = fresh_path(spark, "broken-conditions")
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type")
+    fields = F.concat_ws(",", F.col("event_id"), F.col("user_id"), F.col("event_type"))
+    short = F.concat_ws(",", F.col("event_id"), F.col("user_id"))
+    turn = F.col("event_id") % 10
+    line = F.when(turn == 4, short).when(turn == 8, F.concat(fields, F.lit(",more"))).otherwise(fields)
+    writers.write_with_head(events.select(line.alias("value")), "ID,PATIENT,CODE", path)
+    found = readers.read_checked_columns(spark, path, ["PATIENT", "CODE"])
+    counted = found.rows.groupBy(F.col("CODE").alias("outcome")).agg(F.count("*").alias("n_lines"))
+    return counted.unionByName(
+        found.refused.groupBy(F.col("reason").alias("outcome")).agg(F.count("*").alias("n_lines"))
+    )
+
+
 def cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = balanced(read_documents(spark, sf_dir), "doc_id")
     return docs.withColumn("text", clean_text(F.col("text")))
@@ -268,15 +328,29 @@ def clean_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def candidate_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Candidates with their similarity in all three domains and the signature cosine."""
     stage = signed_documents(spark, sf_dir)
-    described = charsets.with_sets(stage.signed, charsets.char_sets(stage.signed))
-    scored = charsets.with_char_similarity(stage.candidates(), described, name="sim_char")
-    scored = similarity.with_similarity(
-        scored, stage.texts(), "shingle", SHINGLE, name="sim_shingle"
-    )
-    scored = similarity.with_similarity(scored, stage.signed, "signature", name="sim_signature")
-    scored = similarity.with_cosine(scored, stage.signed)
-    names = ("sim_char", "sim_shingle", "sim_signature", "cosine")
-    return scored.select("x", "y", *[F.round(name, 6).alias(name) for name in names])
+    pairs = stage.candidates()
+    paired = pairs.select(F.explode(F.array("x", "y")).alias("doc_id")).distinct()
+    signed = stage.signed.join(paired, "doc_id", "left_semi")
+    described = charsets.with_sets(signed, charsets.char_sets(signed)).join(stage.docs, "doc_id")
+    described = staged(described.withColumn("norm", norm(F.col("signature"))), "paired-documents")
+    columns = ["text", "signature", "norm", *charset.COLUMNS]
+    scored = similarity.both_sides(pairs, described, columns)
+
+    def x(column: str) -> Column:
+        return F.col(f"of_x.{column}")
+
+    def y(column: str) -> Column:
+        return F.col(f"of_y.{column}")
+
+    shingles = shingle_set(x("text"), SHINGLE), shingle_set(y("text"), SHINGLE)
+    values = F.array_distinct(x("signature")), F.array_distinct(y("signature"))
+    scores = {
+        "sim_char": charset.similarity(x, y),
+        "sim_shingle": jaccard(*shingles),
+        "sim_signature": jaccard(*values),
+        "cosine": cosine(x("signature"), y("signature"), x("norm"), y("norm")),
+    }
+    return scored.select("x", "y", *[F.round(score, 6).alias(name) for name, score in scores.items()])
 
 
 def jaccard_pairs(spark: SparkSession, sf_dir: str, domain: str) -> DataFrame:

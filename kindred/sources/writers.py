@@ -77,3 +77,28 @@ def rule_report(rules: DataFrame, k: int) -> DataFrame:
 def write_lines(lines: DataFrame, path: str) -> None:
     """Write ordered report lines; part files follow the order of the rows."""
     lines.write.text(path)
+
+
+def write_quoted(rows: DataFrame, path: str, sep: str = ",") -> None:
+    """A delimited file with a header row whose fields may hold separators, quotes and line breaks."""
+    (
+        rows.write.option("header", True)
+        .option("sep", sep)
+        .option("quoteAll", True)
+        .option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .csv(path)
+    )
+
+
+def write_with_head(lines: DataFrame, head: str, path: str) -> None:
+    """Text files of the given lines, each of which begins with the head line."""
+    names = head.split(",")
+    (
+        lines.select(F.col("value").alias(head))
+        .write.option("header", True)
+        .option("sep", "\0" if len(names) > 1 else ",")
+        .option("quote", "")
+        .csv(path)
+    )

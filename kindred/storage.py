@@ -9,7 +9,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 # Names of stages under the work folder, so that owners can delete what they wrote.
 _open_scopes: list[list[str]] = []
@@ -74,6 +74,16 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def staged_observed(df: DataFrame, name: str, **totals: Column) -> tuple[DataFrame, dict]:
+    """The same, with aggregates over all its rows worked out while they are written.
+
+    Totals come from the tasks whose files are kept, each counted once, so no second pass is needed.
+    """
+    observed = Observation(f"{name}-{uuid.uuid4().hex}")
+    stored = staged(df.observe(observed, *[total.alias(key) for key, total in totals.items()]), name)
+    return stored, observed.get
+
+
 def free_shuffles(spark: SparkSession) -> None:
     """Have the driver give up shuffle files of tables that nothing refers to any more.
 

@@ -423,6 +423,16 @@ WHERE sim >= {LEAST_LIKE}::DOUBLE""",
     "latest_turn": "SELECT conv_id, arg_max(text, turn) AS text FROM conversations GROUP BY conv_id",
     "json_documents": "SELECT doc_id, text FROM documents",
     "tsv_sentences": f"SELECT {CLEAN.format('text')} AS sentence_A FROM benchmark",
+    "tsv_texts": "SELECT text AS sentence_A FROM documents WHERE text <> ''",
+    "last_lines": "SELECT conv_id AS doc_id, arg_max(text, turn) AS text FROM conversations GROUP BY conv_id",
+    "quarantined_documents": """
+SELECT CASE doc_id % 20 WHEN 3 THEN 'not readable' WHEN 7 THEN 'no object' WHEN 11 THEN 'not readable'
+                        WHEN 15 THEN 'no id' ELSE 'kept' END AS outcome, count(*) AS n_lines
+FROM documents WHERE text IS NOT NULL GROUP BY outcome""",
+    "quarantined_conditions": """
+SELECT CASE WHEN event_id % 10 IN (4, 8) THEN 'not as the header' ELSE event_type END AS outcome,
+       count(*) AS n_lines
+FROM events GROUP BY outcome""",
     "clean_text": f"SELECT doc_id, {CLEAN.format('text')} AS text FROM documents",
     "first_documents": "SELECT doc_id, text FROM documents ORDER BY doc_id LIMIT 1000",
     "preview": "SELECT doc_id, text FROM documents ORDER BY doc_id LIMIT 10",
