@@ -14,7 +14,9 @@ from pyspark.sql import functions as F
 from kindred.storage import fresh_path, staged
 
 MIN_PAYLOAD = 100
-RECORDS_PER_FILE = 2000
+# Bounds of a file before compression, which one larger record may exceed. Pages of up to SIZE_STEP bytes are
+# written together, those of up to eight times as many, and so on.
+RECORDS_PER_FILE, FILE_BYTES, SIZE_STEP = 2000, 1 << 27, 1 << 16
 DATE = "2024-01-01T00:00:00Z"
 END = "\r\n\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -54,10 +56,12 @@ def originals(pages: DataFrame, min_payload: int = MIN_PAYLOAD) -> DataFrame:
     )
 
 
-def records(pages: DataFrame, min_payload: int = MIN_PAYLOAD, date: str = DATE) -> DataFrame:
-    """One WARC/1.1 record per page as text, without the two line ends that close it."""
+def records(pages: DataFrame, repeats: DataFrame, date: str = DATE) -> DataFrame:
+    """One WARC/1.1 record per page as text, without the two line ends that close it.
+
+    ``repeats`` are the ``originals`` of all pages there are.
+    """
     payload = F.coalesce(F.col("html"), F.lit(""))
-    repeats = staged(originals(pages, min_payload), "originals")
     typed = (
         pages.select("page_id", "url", payload.alias("payload"))
         .withColumn("digest", F.sha2("payload", 256))
@@ -103,6 +107,8 @@ def write_archives(
     folder: str,
     min_payload: int = MIN_PAYLOAD,
     records_per_file: int = RECORDS_PER_FILE,
+    file_bytes: int = FILE_BYTES,
+    size_step: int = SIZE_STEP,
 ) -> None:
     """Write gzipped archives through Spark's own writer, so any file system it knows will do.
 
@@ -111,14 +117,24 @@ def write_archives(
     written whole. A null payload is empty; a page without an id is never the original, and
     a payload that only such pages have is written whole each time; repeated rows of the
     original's id are whole as well. No page gives no records. Other columns are ignored.
+
+    Pages of like size are written to a folder of their own, in files of so many records that ``file_bytes`` hold
+    them at their largest: a file is read by one task.
     """
-    (
-        records(pages, min_payload)
-        .write.option("lineSep", END)
-        .option("compression", "gzip")
-        .option("maxRecordsPerFile", records_per_file)
-        .text(folder)
-    )
+    repeats = staged(originals(pages, min_payload), "originals")
+    size = F.octet_length(F.coalesce(F.col("html"), F.lit("")))
+    # 0 up to size_step bytes, 1 up to eight times as many, and so on; a text has less than 2 GB.
+    step = F.ceil(F.log(8.0, F.greatest(size / size_step, F.lit(1.0))) - 1e-9).cast("int")
+    steps = sorted({0, *(row[0] for row in pages.select(step).distinct().collect())})
+    for k in steps:
+        most = max(1, min(records_per_file, file_bytes // (size_step * 8**k)))
+        (
+            records(pages.where(step == k), repeats)
+            .write.option("lineSep", END)
+            .option("compression", "gzip")
+            .option("maxRecordsPerFile", most)
+            .text(f"{folder}/size-{k}")
+        )
 
 
 def parse_records(stream: io.BufferedIOBase) -> Iterator[tuple[dict[str, str], bytes]]:
@@ -182,7 +198,12 @@ def read_archives(spark: SparkSession, folder: str) -> DataFrame:
                     [pa.array(c, kind) for c, kind in zip(columns, kinds)], schema=shape
                 )
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(folder)
+    files = (
+        spark.read.format("binaryFile")
+        .option("pathGlobFilter", "part-*")
+        .option("recursiveFileLookup", True)
+        .load(folder)
+    )
     return files.select("content").mapInArrow(rows, ROWS)
 
 

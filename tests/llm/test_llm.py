@@ -11,7 +11,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from kindred.llm import (
-    components,
     decontamination,
     fingerprints,
     jaccard_join,
@@ -24,6 +23,7 @@ from kindred.llm import (
     toxicity,
     warc,
 )
+from kindred.operators import components
 from kindred.llm.labelled import drawn_examples
 
 DOCS = "doc_id long, text string, lang string, source string, score double, label string, n long, key string"
