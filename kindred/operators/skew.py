@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from kindred.storage import staged
 
-# A key is heavy when it holds more than 1/HEAVY_SHARE of the counted rows, so
-# there are fewer than HEAVY_SHARE heavy keys whatever the size of the data.
+# A key is heavy when it holds more than 1/HEAVY_SHARE of the counted rows, or more than an even
+# share of a shuffle where that has more partitions; so there are fewer heavy keys than the greater
+# of these numbers whatever the size of the data.
 HEAVY_SHARE = 1000
 
 # Rows of one group paired within one join cell.
@@ -23,12 +24,13 @@ def join_counted(
     """Inner join of ``rows`` to ``counted``, a table with one row per key.
 
     ``count_col`` tells how many rows hold the key. The few heavy keys (fewer than
-    HEAVY_SHARE rows) are broadcast and their rows stay where they are; only light
-    keys, each a small part of the data, are shuffled.
+    HEAVY_SHARE, or than shuffle partitions if those are more) are broadcast and their rows stay where
+    they are; only light keys, each no more than a task's share of the data, are shuffled.
     """
     keys = list(keys)
     total = counted.agg(F.sum(count_col)).scalar()
-    is_heavy = F.col(count_col) * HEAVY_SHARE > total
+    partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    is_heavy = F.col(count_col) * max(HEAVY_SHARE, partitions) > total
     heavy = F.broadcast(counted.where(is_heavy))
     light = counted.where(~is_heavy)
     return rows.join(heavy, keys).unionByName(
