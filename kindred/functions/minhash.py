@@ -37,24 +37,31 @@ def _base_hashes(text: str, k: int) -> np.ndarray:
     return total % np.uint64(PRIME)
 
 
+def fixed_point(family: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray]:
+    """``(a / PRIME, b / PRIME)`` of each function, as fractions of 2^64.
+
+    With them ``a*x + b`` wraps at 2^64 where the hash wraps at PRIME. For x below 2^31 the product falls
+    short by less than half of 1/PRIME; the half added to b keeps the value within the step of its hash.
+    """
+    a = [(f[0] << 64) // PRIME for f in family]
+    b = [((f[1] << 64) // PRIME + (1 << 32)) % (1 << 64) for f in family]
+    return np.array(a, dtype=np.uint64), np.array(b, dtype=np.uint64)
+
+
 def _minima(base: np.ndarray, a: np.ndarray, b: np.ndarray, work: np.ndarray) -> np.ndarray:
-    """Least hash per function; ``work`` is reused, as fresh matrices cost more than the sums."""
-    p, shift = np.uint64(PRIME), np.uint64(31)
-    lowest = np.full(len(a), PRIME, dtype=np.uint64)
+    """Least hash per function of ``fixed_point``; ``work`` is reused, as a fresh matrix costs more than the sums.
+
+    Fractions are in the order of their hashes, so only the least one is turned into its hash.
+    """
+    lowest = np.full(len(a), 2**64 - 1, dtype=np.uint64)
     for start in range(0, len(base), CHUNK):
         part = base[start : start + CHUNK, None]
-        h, high = work[0, : len(part)], work[1, : len(part)]
+        h = work[: len(part)]
         np.multiply(part, a, out=h)
         np.add(h, b, out=h)
-        # PRIME is 2^31 - 1, so folding the high bits onto the low ones reduces h
-        # to below 2*PRIME; the unsigned minimum then takes off one more PRIME.
-        np.right_shift(h, shift, out=high)
-        np.bitwise_and(h, p, out=h)
-        np.add(h, high, out=h)
-        np.subtract(h, p, out=high)
-        np.minimum(h, high, out=h)
         np.minimum(lowest, h.min(axis=0), out=lowest)
-    return lowest
+    # lowest * PRIME / 2^64, without a product of more than 64 bits.
+    return (lowest - (lowest >> np.uint64(31))) >> np.uint64(33)
 
 
 def minhash_signature(
@@ -75,9 +82,8 @@ def minhash_signature(
 
     @arrow_udf("array<int>")
     def signature(texts: pa.Array) -> pa.Array:
-        a = np.array([f[0] for f in family], dtype=np.uint64)
-        b = np.array([f[1] for f in family], dtype=np.uint64)
-        work = np.empty((2, CHUNK, n_hashes), dtype=np.uint64)
+        a, b = fixed_point(family)
+        work = np.empty((CHUNK, n_hashes), dtype=np.uint64)
         rows = []
         for value in texts:
             document = value.as_py() or ""

@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 from itertools import combinations
 
+import numpy as np
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -57,6 +58,19 @@ def signature_of(value: str, n_hashes: int = N_HASHES, k: int = 8) -> list[int]:
     return [min((a * x + b) % p for x in base) for a, b in minhash.hash_family(n_hashes)]
 
 
+def test_fixed_point_hashes_are_exact_at_both_ends():
+    p, family = minhash.PRIME, minhash.hash_family(200)
+    a, b = minhash.fixed_point(family)
+    work = np.empty((minhash.CHUNK, len(family)), np.uint64)
+    ends = [(t - f[1]) * pow(f[0], -1, p) % p for f in family for t in (0, 1, p - 2, p - 1)]
+    for x in [0, 1, p - 1, 2**30, *ends]:
+        found = minhash._minima(np.array([x], np.uint64), a, b, work)
+        assert found.tolist() == [(f[0] * x + f[1]) % p for f in family]
+    several = np.array(ends, np.uint64)
+    assert len(several) > minhash.CHUNK
+    assert minhash._minima(several, a, b, work).tolist() == [0] * len(family)
+
+
 def brute_candidates(content, b, r, n_hashes=N_HASHES):
     signed = {d: signature_of(t, n_hashes) for d, t in content.items() if t and len(t) >= 8}
     g = banding.effective_bands(n_hashes, b, r)
