@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kindred.operators.banding import cut_rows, is_first_shared
+from kindred.operators.banding import band_keys, band_rows, is_first_shared
 from kindred.operators.components import connected
 from kindred.operators.skew import join_counted, sums_of_pairs
 from kindred.storage import staged
@@ -34,7 +34,7 @@ def candidate_classes(
     has ``(class_id, n_texts, n_documents, n_links)``: links are pairs of texts that share a bucket, each counted
     in the first bucket it shares.
     """
-    rows = staged(cut_rows(signed.select("doc_id", "signature"), [(g, r)], n_hashes), "class-rows")
+    rows = staged(band_rows(signed, g, r, n_hashes), "class-rows")
     found = staged(connected(bucket_stars(rows, ["band", "key"])), "connected")
     node = found.select(F.col("node").alias("doc_id"), F.col("component").alias("class_id"))
     members = staged(
@@ -43,9 +43,17 @@ def candidate_classes(
         .withColumn("class_id", F.coalesce("class_id", "doc_id")),
         "class-members",
     )
-    # All members of a bucket are of one class, so the class can be part of its key.
+    # All members of a bucket are of one class, so the class can be part of its key. Texts alone have no
+    # links; each row of the others carries its earlier bands, a key as 64 bits of hash.
+    linked = (
+        signed.select("doc_id", band_keys(n_hashes, g, r).alias("all"))
+        .join(node, "doc_id")
+        .select("*", F.transform("all", lambda key: F.xxhash64(key)).alias("short"))
+        .select("class_id", "doc_id", "short", F.posexplode("all").alias("band", "key"))
+        .select("class_id", "doc_id", "band", "key", F.slice("short", F.lit(1), F.col("band")).alias("keys"))
+    )
     links = sums_of_pairs(
-        rows.join(node, "doc_id"),
+        linked,
         ["class_id", "band", "key"],
         lambda a, b: [F.count("*").alias("n_links")],
         lambda a, b: is_first_shared(F.col("band"), a("keys"), b("keys")),
