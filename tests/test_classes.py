@@ -6,6 +6,7 @@ import random
 from itertools import combinations
 
 import pytest
+from pyspark.sql import functions as F
 
 from kindred.operators import band_index, banding, classes, documents, similarity
 from kindred.operators.components import connected
@@ -65,6 +66,25 @@ def test_classes_equal_listed_pairs(spark, g, r):
     assert max(e[3] for e in expected) > 2 and min(e[1] for e in expected) == 1
 
 
+@pytest.mark.parametrize("cell_texts", [7, 64, 4096])
+def test_links_are_counted_over_blocks_and_shared_cells(spark, cell_texts):
+    draw = random.Random(11)
+    rows = []
+    for class_id, size in [(-5, 1), (0, 2), (10, 3), (1000, 150), (5000, 9)]:
+        for i in range(size):
+            keys = [class_id * 1000 + draw.randrange(1 + size // 3) for _ in range(4)]
+            rows.append((class_id, class_id + i, keys))
+    keyed = spark.createDataFrame(rows, "class_id long, doc_id long, keys array<long>")
+    sizes = keyed.groupBy("class_id").agg(F.count("*").alias("n_texts"))
+    expected = {c: 0 for c in (0, 10, 1000, 5000)}
+    for one, other in combinations(rows, 2):
+        if one[0] == other[0]:
+            expected[one[0]] += any(x == y for x, y in zip(one[2], other[2]))
+    found = classes.class_links(keyed, sizes, cell_texts).collect()
+    assert len(found) == 4 and {r.class_id: r.n_links for r in found} == expected
+    assert classes.class_links(keyed.limit(0), sizes.limit(0), cell_texts).count() == 0
+
+
 def shingles(text):
     return {text[i : i + K] for i in range(len(text) - K + 1)}
 
