@@ -282,9 +282,9 @@ def test_fingerprints_are_inverted_and_follow_the_next_document(spark):
     assert long.near_edited > 0.3 > long.near_next
     hasher = fingerprints.ParagraphHasher()
     a, b = "one line\ntwo lines\nthree\n", "one line\ntwo lines\nfour\n"
-    sketches = fingerprints.stored_sketches(2, *hasher.digests([a.encode(), b.encode()]))
-    differing = fingerprints.differing_digests(*sketches)
     owner, key = hasher.digests([a.encode(), b.encode()])
+    sketches = fingerprints.printed(np.bincount(owner), fingerprints.stored_cells(2, owner, key))
+    differing = fingerprints.differing_digests(*sketches)
     one, other = set(key[owner == 0].tolist()), set(key[owner == 1].tolist())
     assert {k for k, _ in differing} == one ^ other and {s for _, s in differing} == {1, -1}
     assert fingerprints.fingerprints(documents(spark, [])).count() == 0
