@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from kindred.functions import charset
-from kindred.operators import banding, charsets, documents, evaluation, similarity, skew
+from kindred.operators import banding, cells, charsets, documents, evaluation, similarity, skew
 from kindred.storage import staged
 
 
@@ -100,3 +100,33 @@ def test_sums_of_pairs_count_each_pair_once(spark, block_rows):
 def test_no_documents_give_zero(spark):
     docs = as_docs(spark, {1: "", 2: None})
     assert evaluation.similar_char_total(docs).first()["n_similar"] == 0
+
+
+def test_counts_where_documents_meet_often(spark, monkeypatch):
+    """Compared in cells of two blocks: no bucket carries keys, and the sums are those of brute force."""
+    rng = random.Random(5)
+    letters = [chr(c) for c in range(0x4E00, 0x4E00 + 400)]
+    base = "".join(rng.choice(letters) for _ in range(300))
+    content = {n: base[: 150 + n] + "".join(rng.choice(letters) for _ in range(n % 60)) for n in range(150)}
+    docs = spark.createDataFrame(list(content.items()), "doc_id long, text string")
+    signed = staged(
+        documents.signed_groups(documents.hashed_texts(docs, 40, 8)).withColumn("n_copies", F.col("doc_id") + 1),
+        "signed",
+    )
+
+    def never(*args, **kwargs):
+        raise AssertionError("summed up bucket by bucket")
+
+    monkeypatch.setattr(evaluation, "sums_of_pairs", never)
+    monkeypatch.setattr(cells, "CELL_ROWS", 40)
+    got = evaluation.candidate_counts(signed, charsets.char_sets(signed), [(20, 2)], 40).first()
+    signatures = {row.doc_id: row.signature for row in signed.collect()}
+    expected = [sum((n + 1) * n // 2 for n in signatures)] * 2 + [0]
+    for x, y in combinations(sorted(signatures), 2):
+        a, b = signatures[x], signatures[y]
+        if any(a[k : k + 2] == b[k : k + 2] for k in range(0, 40, 2)):
+            one, other = set(content[x]), set(content[y])
+            sim, weight = len(one & other) / len(one | other), (x + 1) * (y + 1)
+            for k, counted in enumerate((True, sim > 0.85, sim < 0.6)):
+                expected[k] += weight * counted
+    assert [int(n) for n in got] == expected and min(expected) > 0
