@@ -10,7 +10,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from kindred.functions import minhash, text
-from kindred.operators import banding, documents, evaluation, similarity, skew
+from kindred.operators import banding, cells, documents, evaluation, similarity, skew
 from kindred.plans import near_duplicates
 from kindred.storage import staged
 
@@ -393,3 +393,22 @@ def test_pair_table(spark):
     for row in table:
         assert row["is_candidate"] == ((row["x"], row["y"]) in candidates)
         assert 0 <= row["jaccard"] <= 1 and 0 <= row["cosine_norm"] <= 1
+
+
+def test_pairs_that_meet_often_are_not_shuffled(spark, monkeypatch):
+    rng = random.Random(3)
+    rows = [(n, band, bytes([rng.randrange(3)])) for n in range(200) for band in range(6)]
+    rows.append((7, 0, bytes([9])))
+    rows.append((8, 0, bytes([9])))
+
+    def never(*args, **kwargs):
+        raise AssertionError("paired bucket by bucket")
+
+    monkeypatch.setattr(similarity, "pairs_sharing_key", never)
+    monkeypatch.setattr(cells, "CELL_ROWS", 50)
+    stored = staged(spark.createDataFrame(rows, "doc_id long, band int, key binary"), "bands")
+    copies = stored.select("doc_id").distinct().withColumn("n_copies", F.col("doc_id") * 2)
+    got = similarity.candidate_pairs(stored, copies).collect()
+    keys = {n: {(band, key) for m, band, key in rows if m == n} for n in range(200)}
+    expected = {(x, y, len(keys[x] & keys[y]), 2 * x, 2 * y) for x, y in combinations(range(200), 2) if keys[x] & keys[y]}
+    assert len(got) == len(expected) and {tuple(row) for row in got} == expected
