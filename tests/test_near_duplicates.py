@@ -10,6 +10,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from kindred.functions import minhash, text
+from kindred.functions.shingles import shingle_similarity
 from kindred.operators import banding, cells, documents, evaluation, similarity, skew
 from kindred.plans import near_duplicates
 from kindred.storage import staged
@@ -412,3 +413,43 @@ def test_pairs_that_meet_often_are_not_shuffled(spark, monkeypatch):
     keys = {n: {(band, key) for m, band, key in rows if m == n} for n in range(200)}
     expected = {(x, y, len(keys[x] & keys[y]), 2 * x, 2 * y) for x, y in combinations(range(200), 2) if keys[x] & keys[y]}
     assert len(got) == len(expected) and {tuple(row) for row in got} == expected
+
+
+def test_shingle_similarity_is_exact_for_any_alphabet(spark):
+    rng = random.Random(8)
+    few_letters, many = "abc", [chr(c) for c in [*range(0x4E00, 0x4E00 + 400), 0x1F600, 0x1F601]]
+    rows = [("", "", 0), ("abcdefg", "abcdefgh", 1), (None, "abcdefgh", 2), ("abcdefgh", "abcdefgh", 3)]
+    for n in range(4, 40):
+        letters = few_letters if n % 2 else many
+        one = "".join(rng.choice(letters) for _ in range(200))
+        cut = rng.randrange(200)
+        rows.append((one, one[:cut] + "!" + one[cut:150] + one, n))
+    df = spark.createDataFrame(rows, "x string, y string, n int").repartition(2)
+    got = {r.n: r.sim for r in df.select("n", shingle_similarity(F.col("x"), F.col("y"), 8).alias("sim")).collect()}
+    assert got == {n: jaccard(shingles(x or ""), shingles(y or "")) for x, y, n in rows}
+
+
+def test_first_tokens_only_are_shuffled(spark, monkeypatch):
+    """Similar pairs are all found from the rarest tokens; the tokens of a text are no rows before that."""
+    rng = random.Random(6)
+    content = {}
+    for group in range(5):
+        base = "".join(rng.choice("abcdefghijklmnop") for _ in range(400))
+        for n in range(6):
+            content[10 * group + n] = base[: 400 - 12 * n] + "".join(rng.choice("xyz") for _ in range(12 * n))
+    written = {}
+
+    def kept(df, name):
+        stored = staged(df, name)
+        written[name] = stored.count()
+        return stored
+
+    monkeypatch.setattr(similarity, "staged", kept)
+    found = {(r.x, r.y): r.sim for r in similarity.similar_pairs(as_docs(spark, content), "shingle", 0.85).collect()}
+    expected = {}
+    for x, y in combinations(content, 2):
+        sim = jaccard(shingles(content[x]), shingles(content[y]))
+        if sim >= 0.85:
+            expected[x, y] = sim
+    assert found == expected and len(found) > 10
+    assert max(written.values()) < 0.25 * sum(len(shingles(t)) for t in content.values())
