@@ -130,3 +130,37 @@ def test_counts_where_documents_meet_often(spark, monkeypatch):
             for k, counted in enumerate((True, sim > 0.85, sim < 0.6)):
                 expected[k] += weight * counted
     assert [int(n) for n in got] == expected and min(expected) > 0
+
+
+def test_blocks_of_sets_are_bounded_and_meet_once():
+    counts = [(size, 1 + 200_000 * size % 90_000) for size in range(5, 80)] + [(3000, 5000), (10**6, 3)]
+    places, reach = charsets.size_blocks(counts, 0.85)
+    held = {}
+    for (size, n), (same, first, parts) in zip(counts, places, strict=True):
+        assert size == same
+        for block in range(first, first + parts):
+            held.setdefault(block, []).append((size, -(-n // parts)))
+    assert sorted(held) == [block for block, _, _ in reach] == list(range(len(held)))
+    for rows in held.values():
+        n = sum(n for _, n in rows)
+        assert n <= charsets.BLOCK_SETS and (n == 1 or n * rows[-1][0] <= charsets.BLOCK_CHARACTERS)
+    to = {block: (low, high) for block, low, high in reach}
+    for a, b in combinations(held, 2):
+        allowed = held[b][0][0] * 0.85 <= held[a][-1][0]
+        assert (to[a][0] <= b <= to[a][1]) == (to[b][0] <= a <= to[b][1]) == allowed
+
+
+def test_similar_total_over_many_blocks(spark, monkeypatch):
+    """Cells of few sets, some of only rare characters, sum up what brute force does."""
+    monkeypatch.setattr(charsets, "LEAST_SETS", 4)
+    monkeypatch.setattr(charsets, "BLOCK_SETS", 7)
+    monkeypatch.setattr(charset, "TILE", 16)
+    draw = random.Random(8)
+    letters = [chr(c) for c in range(0x4E00, 0x4E00 + 600)]
+    content = texts(seed=6)
+    for n in range(100, 180):
+        near = letters[n % 5 * 100 : n % 5 * 100 + 90]
+        content[n] = "".join(near[draw.randint(0, 6) : draw.randint(84, 90)] + draw.sample(letters, draw.randint(0, 3)))
+    filled = {d: set(t) for d, t in content.items() if t}
+    expected = sum(jaccard(x, y) > 0.85 for x, y in combinations(filled.values(), 2))
+    assert evaluation.similar_char_total(as_docs(spark, content)).first()["n_similar"] == expected > 100
