@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from kindred.functions import minhash, text
 from kindred.functions.shingles import shingle_similarity
-from kindred.operators import banding, cells, documents, evaluation, similarity, skew
+from kindred.operators import banding, cells, charsets, documents, evaluation, similarity, skew
 from kindred.plans import near_duplicates
 from kindred.storage import staged
 
@@ -190,6 +190,26 @@ def test_similar_pairs_by_characters(spark, texts, threshold):
     assert got == {pair: sim for pair, sim in sims.items() if sim >= threshold}
 
 
+def test_similar_pairs_by_characters_are_not_shuffled(spark, monkeypatch):
+    """Neither meetings nor pairs: each pair leaves the cell of blocks that finds it. Rows may repeat."""
+
+    def never(*args, **kwargs):
+        raise AssertionError("pairs are shuffled")
+
+    monkeypatch.setattr(similarity, "pairs_sharing_key", never)
+    monkeypatch.setattr(charsets, "LEAST_SETS", 3)
+    monkeypatch.setattr(charsets, "BLOCK_SETS", 6)
+    rng = random.Random(9)
+    rows = [(n % 50, "".join(rng.sample("abcdefghijklmnopqrstuvwxyz", rng.randint(20, 24)))) for n in range(55)]
+    docs = spark.createDataFrame([*rows, (60, ""), (None, rows[0][1])], "doc_id long, text string")
+    got = sorted((r.x, r.y, r.sim) for r in similarity.similar_pairs(docs, "char", 0.85).collect())
+    expected = []
+    for (x, a), (y, b) in combinations(rows, 2):
+        if x != y and jaccard(set(a), set(b)) >= 0.85:
+            expected.append((min(x, y), max(x, y), jaccard(set(a), set(b))))
+    assert got == sorted(expected) and len(got) > 20
+
+
 @pytest.mark.parametrize("threshold", [0.3, 0.6, 0.85])
 def test_similar_pairs_by_shingles(spark, threshold):
     content = {**variants(5, 5), 900: "tiny", 901: ""}
