@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from kindred.operators.skew import spread_by
+
 # Hex digits of an md5 that fit a 64-bit integer with room to spare.
 HASH_DIGITS = 15
 
@@ -96,7 +98,8 @@ def random_pairs(
     """
     ids = numbered(rows.select(key), key)
     total = rows.agg(F.count("*")).scalar()
-    draws = ids.select(
+    # Ids are few bytes, so adaptive merging would leave all draws to a task or two.
+    draws = spread_by(ids.select("idx"), ["idx"]).select(
         F.explode(F.sequence(F.lit(0), F.lit(draws_per_row - 1))).alias("_turn"), "idx"
     ).select((F.col("idx") * draws_per_row + F.col("_turn")).alias("draw"))
     picks = draws.select(

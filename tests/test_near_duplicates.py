@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from kindred.functions import minhash, text
 from kindred.functions.shingles import shingle_similarity
-from kindred.operators import banding, cells, charsets, documents, evaluation, similarity, skew
+from kindred.operators import banding, cells, charsets, documents, evaluation, sampling, similarity, skew
 from kindred.plans import near_duplicates
 from kindred.storage import staged
 
@@ -416,6 +416,59 @@ def test_pair_table(spark):
         assert 0 <= row["jaccard"] <= 1 and 0 <= row["cosine_norm"] <= 1
 
 
+def test_pair_table_equals_brute_force(spark, monkeypatch):
+    """Pairs carry signatures alone; these are compared some at a time."""
+    monkeypatch.setattr(minhash, "PAIRS", 7)
+    content = {**variants(3, 3), 50: "a" * 40, 51: "ab" * 20}
+    docs, signed, _ = lsh_stage(spark, content)
+    pairs = spark.createDataFrame(list(combinations(sorted(content), 2)), "x long, y long")
+    table = evaluation.pair_table(pairs, members_of(docs), signed, 10, 4, N_HASHES)
+    assert "md5" not in table._jdf.queryExecution().toString()
+    held = {d: signature_of(t) for d, t in content.items()}
+    rows = table.collect()
+    assert len(rows) == pairs.count()
+    for row in rows:
+        x, y = held[row.x], held[row.y]
+        assert row.jaccard == jaccard(set(x), set(y))
+        norms = np.linalg.norm(np.array(x, float)) * np.linalg.norm(np.array(y, float))
+        assert row.cosine == pytest.approx(np.dot(np.array(x, float), np.array(y, float)) / norms)
+        assert row.is_candidate == any(x[k : k + 4] == y[k : k + 4] for k in range(0, 40, 4))
+
+
+@pytest.mark.parametrize(("r", "n_bands"), [(10, 20), (4, 10), (1, 3)])
+def test_compared_signatures(spark, r, n_bands):
+    rng = random.Random(r)
+    rows = [[[rng.randint(0, 60) * 30_000_000 for _ in range(200)] for _ in range(2)] for _ in range(30)]
+    rows = [(x, x[: 10 * n] + y[10 * n :]) for n, (x, y) in enumerate(rows[:20])] + [tuple(row) for row in rows[20:]]
+    pairs = spark.createDataFrame(rows, "a array<int>, b array<int>")
+    for row in pairs.select("a", "b", minhash.compared(F.col("a"), F.col("b"), r, n_bands).alias("c")).collect():
+        assert row.c.n_shared == len(set(row.a) & set(row.b))
+        assert row.c.dot == pytest.approx(sum(float(x) * y for x, y in zip(row.a, row.b, strict=True)))
+        bands = range(0, n_bands * r, r)
+        assert row.c.is_candidate == any(row.a[k : k + r] == row.b[k : k + r] for k in bands)
+
+
+def test_draws_of_pairs_are_spread(spark):
+    """Adaptive merging of the few bytes of the ids is not to leave all draws to one task."""
+    plan = sampling.random_pairs(spark.range(100).withColumnRenamed("id", "doc_id"))._jdf.queryExecution().toString()
+    assert "RepartitionByExpression [idx" in plan
+
+
+def test_set_difference_joins_copies_and_filled_at_once(spark, monkeypatch):
+    def never(*args, **kwargs):
+        raise AssertionError("pairs are joined once for copies and once more for filled documents")
+
+    monkeypatch.setattr(evaluation, "weighted", never)
+    docs = as_docs(spark, {1: "", 2: "tiny", 3: "some longer text", 4: "some longer text", 5: "", 6: "others"})
+    unique = documents.unique_documents(docs)
+    signed = unique.select("doc_id", "n_copies")
+    pairs = spark.createDataFrame([(1, 2), (1, 3), (2, 3), (3, 6)], "x long, y long")
+    row = evaluation.set_difference(docs, pairs, signed).first()
+    # Texts 1 and 3 have two documents each: 2 + 4 + 2 + 2 pairs and those of both texts' copies; 2 + 2 + 1 in the map.
+    assert (row["n_candidates"], row["n_pairs"], row["n_fp"], row["n_fn"]) == (12, 6, 7, 1)
+    assert row["fp_rate"] == pytest.approx(7 / 12) and row["fn_rate"] == pytest.approx(1 / 6)
+
+
 def test_pairs_that_meet_often_are_not_shuffled(spark, monkeypatch):
     rng = random.Random(3)
     rows = [(n, band, bytes([rng.randrange(3)])) for n in range(200) for band in range(6)]
