@@ -342,6 +342,33 @@ def test_copies_and_heavy_signatures_are_split(spark):
     assert all(got[1][1000 + k][1] == 1000 + k for k in range(100))
 
 
+def test_signatures_in_passes_find_the_same(spark):
+    """Passes deal disjoint parts of the buckets, and what they find together is the same."""
+    none = np.empty(0, np.uint64)
+    rows = [(k, f"{words(60, 11)} {words(1 + k % 9, 1000 + k)}", "en", "a") for k in range(60)]
+    rows += [(100 + k, words(50, 5000 + k // 2) + " x" * (k % 2), "en", "a") for k in range(40)]
+    rows += [(None, words(60, 11), "en", "a"), (7, None, "en", "a"), (7, "", "en", "a")]
+    docs = documents(spark, rows).coalesce(1)
+
+    def signatures(turn, n_passes):
+        packed = jaccard_join.signature_rows(docs, none, 8, turn=turn, n_passes=n_passes)
+        found = [(r.bucket, bytes(r.signatures)) for r in packed.collect()]
+        return sorted(found), {bucket for bucket, _ in found}
+
+    whole, buckets = signatures(0, 1)
+    parts = [signatures(turn, 2) for turn in range(2)]
+    assert sorted(parts[0][0] + parts[1][0]) == whole
+    assert not parts[0][1] & parts[1][1] and parts[0][1] | parts[1][1] == buckets
+    assert max(sum(len(s) for _, s in part) for part, _ in parts) < 0.7 * sum(len(s) for _, s in whole)
+
+    results = [
+        sorted(map(str, jaccard_join.near_duplicates(docs, **more).drop("component").collect()))
+        for more in ({}, {"pass_elements": 0}, {"pass_elements": 0, "heavy_sets": 20})
+    ]
+    assert len(results[0]) == len(rows)
+    assert results[0] == results[1] == results[2]
+
+
 def test_license_rules_need_their_sentences_in_order(spark):
     mit = ["The MIT License", "x", license_scan.SENTENCES["mit-notice"]]
     rows = [
