@@ -369,6 +369,23 @@ def test_signatures_in_passes_find_the_same(spark):
     assert results[0] == results[1] == results[2]
 
 
+def test_one_of_each_shuffles_texts_once(spark):
+    rows = [(1, "a b c d e f", "en", "a"), (1, "a b c d e f", "en", "a"), (None, "g h i j k l", "en", "a")]
+    rows += [(0, "g h i j k l m", "en", "a"), (2, "", "en", "a"), (2, "", "en", "a"), (None, None, "en", "a")]
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = jaccard_join.one_of_each(documents(spark, rows))
+        plan = found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    window = plan[plan.index("Window") :]
+    assert "Exchange" not in window[: window.index("Join")]
+    kept = sorted((str(r.doc_id), r.text) for r in found.collect() if r.text)
+    assert kept == [("0", "g h i j k l m"), ("1", "a b c d e f"), ("None", "g h i j k l")]
+    assert sum(1 for r in found.collect() if not r.text) == 3
+
+
 def test_license_rules_need_their_sentences_in_order(spark):
     mit = ["The MIT License", "x", license_scan.SENTENCES["mit-notice"]]
     rows = [
