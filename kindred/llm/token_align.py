@@ -20,7 +20,7 @@ from kindred.storage import staged
 
 MARK = "▁"
 # Bytes of text whose link pairs are looked up together, and bytes encoded at a time.
-BLOCK_BYTES, GROUP_BYTES = 1 << 23, 1 << 20
+BLOCK_BYTES, GROUP_BYTES = 1 << 23, 1 << 18
 # Tokens of windows kept for reuse, after which a task begins anew.
 KEPT_TOKENS = 2_000_000
 # Links of a group up to which they are listed one by one.
@@ -379,8 +379,8 @@ class _Block:
             *[_one_list(pa.array(counts[:, i])) for i in range(4)],
             _one_list(pa.array(self.digests, pa.string())),
             _one_list(pa.array(np.array([len(p) for p in self.pairs], np.int32))),
-            _one_list(pa.array(local.astype(np.int32))),
-            _one_list(pa.array(np.concatenate(self.times))),
+            pa.array([_narrow(local)], pa.binary()),
+            pa.array([_narrow(np.concatenate(self.times))], pa.binary()),
             _one_list(pa.array(pairs)),
             _one_list(pa.array(n_docs.astype(np.int64))),
         ]
@@ -392,11 +392,22 @@ def _one_list(values: pa.Array) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
 
 
+def _narrow(values: np.ndarray) -> bytes:
+    """Numbers from 0 on in as few bytes each as the largest needs."""
+    return values.astype(np.min_scalar_type(int(values.max(initial=0)))).tobytes()
+
+
+def _wide(raw: pa.Scalar, n: int) -> np.ndarray:
+    """The n numbers of ``_narrow``."""
+    held = raw.as_buffer()
+    return np.frombuffer(held, f"u{held.size // n}").astype(np.int64) if n else np.empty(0, np.int64)
+
+
 def _block_schema(id_type: str) -> str:
     numbers = ", ".join(f"{n} array<long>" for n in _Block.FIELDS)
     return (
         f"block string, doc_id array<{id_type}>, {numbers}, groups_sha256 array<string>, "
-        "n_pairs array<int>, local array<int>, times array<long>, pairs array<long>, n_docs array<long>"
+        "n_pairs array<int>, local binary, times binary, pairs array<long>, n_docs array<long>"
     )
 
 
@@ -411,7 +422,8 @@ def aligned_blocks(
 
     A block holds neighbours of up to ``block_bytes`` of text together, or one longer document. ``pairs`` are
     its distinct link pairs, ``n_docs`` the number of its documents that hold each; of each document
-    ``n_pairs`` entries of ``local``, places in ``pairs``, and of ``times``, how often it is linked.
+    ``n_pairs`` entries of ``local``, places in ``pairs``, and of ``times``, how often it is linked. These two are by
+    far the longest and are packed, as a row is held several times on its way through a task.
     """
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
@@ -471,9 +483,11 @@ def link_counts(blocks: DataFrame, width: int) -> DataFrame:
 
 def _sums(block: pa.Table) -> pa.Table:
     """Rows of documents from the one row of their block with the counts of its pairs."""
-    row = {n: block.column(n).combine_chunks().flatten() for n in block.column_names if n != "block"}
+    packed = ("local", "times")
+    names = [n for n in block.column_names if n not in ("block", *packed)]
+    row = {n: block.column(n).combine_chunks().flatten() for n in names}
     sizes = row["n_pairs"].to_numpy().astype(np.int64)
-    local, times = row["local"].to_numpy(), row["times"].to_numpy()
+    local, times = (_wide(block.column(n)[0], int(sizes.sum())) for n in packed)
     # Running totals give the sum over each document's entries.
     ends = np.cumsum(sizes)
     sums = {}

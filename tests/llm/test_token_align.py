@@ -7,6 +7,8 @@ import random
 from collections import Counter, defaultdict
 from pathlib import Path
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from kindred.llm import token_align
@@ -195,3 +197,17 @@ def test_query_equals_all_occurrences(spark, models):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()]
     found = QUERIES["op12_token_alignment"](spark, SF_DIR)
     assert sorted(map(tuple, found.collect()), key=repr) == plain(models, rows)
+
+
+def test_block_entries_are_packed_as_narrow_as_they_can_be(spark):
+    """The lists with an entry per pair of a document are bytes, not arrays of long numbers."""
+    for values in ([], [0], [255], [256, 1], [65_536, 3], [2**32, 0], [2**40, 7]):
+        numbers = np.array(values, np.int64)
+        raw = pa.scalar(token_align._narrow(numbers), pa.binary())
+        assert token_align._wide(raw, len(values)).tolist() == values
+    rows = [(1, "one two three one two"), (2, None), (3, "three four"), (4, "")]
+    blocks = token_align.aligned_blocks(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1))
+    for row in blocks.collect():
+        assert len(row.local) == len(row.times) == sum(row.n_pairs) > 0
+    empty = spark.createDataFrame([(5, ""), (6, None)], "doc_id long, text string").coalesce(1)
+    assert [(r.n_links, r.n_best) for r in token_align.alignment(empty).collect()] == [(0, 0)] * 2
