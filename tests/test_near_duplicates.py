@@ -4,6 +4,7 @@ import random
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -11,7 +12,17 @@ from pyspark.sql import functions as F
 
 from kindred.functions import minhash, text
 from kindred.functions.shingles import shingle_similarity
-from kindred.operators import banding, cells, charsets, documents, evaluation, sampling, similarity, skew
+from kindred.operators import (
+    banding,
+    cells,
+    charsets,
+    documents,
+    evaluation,
+    prefixes,
+    sampling,
+    similarity,
+    skew,
+)
 from kindred.plans import near_duplicates
 from kindred.storage import staged
 
@@ -526,3 +537,57 @@ def test_first_tokens_only_are_shuffled(spark, monkeypatch):
             expected[x, y] = sim
     assert found == expected and len(found) > 10
     assert max(written.values()) < 0.25 * sum(len(shingles(t)) for t in content.values())
+
+
+def test_rare_tokens_are_packed_and_passes_find_the_same(spark):
+    """First tokens take a few bytes each, and passes over shares of the tokens lose no similar pair."""
+    rng = random.Random(5)
+    base = ["".join(rng.choices("abcdefgh ", k=400)) for _ in range(12)]
+    content = {
+        k: "".join(c if rng.random() > 0.004 * (k % 6) else rng.choice("xyz") for c in base[k % 12]) for k in range(120)
+    }
+    content |= {500: "short text", 501: "short text!", 502: "", 503: "tiny"}
+    docs = as_docs(spark, content).coalesce(2)
+    sets = {k: {t[i : i + 8] for i in range(len(t) - 7)} for k, t in content.items()}
+    want = {
+        (x, y)
+        for x in sets
+        for y in sets
+        if x < y and sets[x] and sets[y] and len(sets[x] & sets[y]) >= 0.85 * len(sets[x] | sets[y])
+    }
+    assert len(want) > 100
+
+    def tokens(batch):
+        return similarity.shingles_of(batch, 8)
+
+    for pass_tokens in (prefixes.PASS_TOKENS, 0):
+        close = {(r.x, r.y) for r in prefixes.close_pairs(docs, tokens, 0.85, pass_tokens).collect()}
+        assert want <= close
+    counts = np.zeros(prefixes.RANGES, np.uint8)
+    rows = prefixes.packed_rows(docs, tokens, counts, 0.85, 4).collect()
+    n_tokens = sum(len(r.tokens) // 5 for r in rows)
+    assert sum(sum(map(len, (r.tokens, r.owners, r.sizes, r.counts))) for r in rows) < 7 * n_tokens
+    found = similarity.similar_pairs(docs, "shingle", 0.85)
+    assert {(r.x, r.y) for r in found.collect()} == want
+
+
+def test_similar_pairs_sends_each_text_once_to_its_cell(spark):
+    """Texts like one another are compared in one cell, however many pairs they make."""
+    pairs = staged(
+        spark.createDataFrame([(x, y) for x in range(30) for y in range(x + 1, 30)], "x long, y long"), "clique"
+    )
+    docs = as_docs(spark, {k: f"text {k}" for k in range(40)})
+
+    def sizes(held, asked):
+        return pa.table({"n_rows": [len(held)], "n_pairs": [len(asked)]})
+
+    cells = prefixes.in_shared_cells(pairs, docs, ["text"], 128, sizes, "n_rows long, n_pairs long")
+    assert [tuple(r) for r in cells.collect()] == [(30, 435)]
+
+
+def test_similar_pairs_of_repeated_and_null_ids(spark):
+    """Rows of one id are compared each for itself, never with each other; a null id is in no pair."""
+    text = "a text of some length that is told again "
+    rows = [(1, text), (1, text + "?"), (2, text + "!"), (None, text), (3, "quite another text with other words")]
+    found = similarity.similar_pairs(spark.createDataFrame(rows, "doc_id long, text string"), "shingle", 0.85)
+    assert sorted((r.x, r.y) for r in found.collect()) == [(1, 2)] * 2
